@@ -1,0 +1,30 @@
+"""Connected components of an edge table, by joins."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from corpusloom.llm.common import cut
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """edges: a, b (longs). Returns node, label: the smallest node that is reachable.
+
+    Each round gives every node the least label among its neighbours, then replaces labels by the labels of
+    their labels, twice, so that the rounds grow with the logarithm of a chain's length. Every round is checkpointed.
+    Edges keep their own ends, so that no node becomes the end of more edges than it had.
+    """
+    both = cut(edges.filter("a <> b").selectExpr("explode(array(struct(a, b), struct(b AS a, a AS b))) AS e").select("e.a", "e.b").distinct())
+    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("label")))
+    while True:
+        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
+        step = labels.withColumnRenamed("label", "was").join(near, "node").select("node", "was", F.least("was", "near").alias("label"))
+        for _ in range(2):
+            step = cut(step)
+            up = step.select(F.col("node").alias("label"), F.col("label").alias("up"))
+            step = step.join(up, "label").select("node", "was", F.col("up").alias("label"))
+        step = cut(step)
+        labels = step.select("node", "label")
+        if step.filter("label < was").isEmpty():
+            return labels

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from corpusloom.llm import url_filters
 from corpusloom.llm.quality_rules import ALPHA, DELTA, GRIDS, MAX_STRATA
 
 W = r"[^\x20\x09-\x0D]+"
@@ -69,4 +70,52 @@ d AS (
 SELECT doc_id, size, source_size, target, CAST(whole * size + least(greatest(goal - whole * source_size - before, 0), size) AS BIGINT) AS taken FROM d
 """
 
-SQL: dict[str, str] = {"op3_quality_rules": OP3, "op5_mixing": OP5}
+OP6 = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+f AS (
+  SELECT *, length('<|im_start|><|im_end|>') + 2 + length(replace(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '[', '&#91;'), chr(10), '&#10;'))
+      + length(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '[', '&#91;')) AS chars
+  FROM t),
+r AS (SELECT *, sum(chars) OVER w AS upto, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC NULLS LAST, role DESC, text DESC) = 1 AS final
+  FROM f WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(coalesce(sum(upto) FILTER (role = 'assistant' OR final), 0) AS BIGINT) AS formatted_chars
+FROM r GROUP BY conv_id
+"""
+
+
+def _op7() -> str:
+    rules = " ".join(
+        f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN {{'rule': '{h}{p}', 'verdict': '{v}'}}"
+        for v, h, p in sorted(url_filters.RULES, key=lambda r: -len(r[1] + r[2]))
+    )
+    depth = url_filters.DEPTH
+    number, number_ext, hexes, _ = (p for p, _ in url_filters.SHAPES)
+    mixed = "regexp_full_match(x, '[A-Za-z0-9_.-]{12,}') AND regexp_matches(x, '[0-9]') AND regexp_matches(x, '[A-Za-z]')"
+    shape = f"CASE WHEN regexp_full_match(x, '{number}') THEN '{{number}}' WHEN regexp_full_match(x, '{number_ext}') THEN '{{number.ext}}' WHEN regexp_full_match(x, '{hexes}') THEN '{{hex}}' WHEN {mixed} THEN '{{id}}' ELSE x END"
+    out = rf"""
+WITH u0 AS (SELECT page_id, coalesce(lower(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1)), '') AS host, coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+u1 AS (SELECT *, CASE {rules} END AS r, string_split(rtrim(substr(path, 2), '/'), '/') AS raw FROM u0),
+u AS (SELECT page_id, host, path, r, list_transform(CASE WHEN len(raw) > {depth + 1} THEN list_append(raw[1:{depth}], array_to_string(raw[{depth + 1}:], '/')) ELSE raw END, lambda x: {shape}) AS segs FROM u1),
+r0 AS (SELECT host, segs, '' AS template, count(*) AS n, count(*) FILTER (r IS NOT NULL) AS labelled, count(*) FILTER (r.verdict = 'block') AS bad FROM u GROUP BY host, segs)"""
+    for k in range(depth + 1):
+        out += rf""",
+s{k} AS (SELECT *, coalesce(segs[{k + 1}], '$') AS seg FROM r{k}),
+c{k} AS (SELECT host, template, seg, sum(n) AS n, sum(labelled) AS l, sum(bad) AS b, sum(sum(n)) OVER w AS an, sum(sum(labelled)) OVER w AS al, sum(sum(bad)) OVER w AS ab FROM s{k} GROUP BY host, template, seg WINDOW w AS (PARTITION BY host, template)),
+k{k} AS (
+  SELECT host, template, seg FROM c{k}
+  WHERE n = an OR n >= {url_filters.MIN_CHILD} AND l > 0 AND al > l
+    AND abs(b / greatest(l, 1) - (ab - b) / greatest(al - l, 1)) > {url_filters.Z} * sqrt(ab / greatest(al, 1) * (1 - ab / greatest(al, 1)) * (1 / greatest(l, 1) + 1 / greatest(al - l, 1)))),
+r{k + 1} AS (SELECT host, segs, template || '/' || CASE WHEN (host, template, seg) IN (SELECT (host, template, seg) FROM k{k}) THEN seg ELSE '*' END AS template, n, labelled, bad FROM s{k})"""
+    return out + rf""",
+per AS (SELECT host, template, sum(labelled) AS l, sum(bad) AS b, sum(sum(labelled)) OVER (PARTITION BY host) AS hl, sum(sum(bad)) OVER (PARTITION BY host) AS hb FROM r{depth + 1} GROUP BY host, template)
+SELECT page_id, u.host, path, r.rule AS rule, coalesce(r.verdict, CASE WHEN (b + {url_filters.PRIOR} * hb / greatest(hl, 1)) / (l + {url_filters.PRIOR}) >= {url_filters.REJECT} THEN 'block' ELSE 'allow' END) AS verdict, t.template
+FROM u JOIN r{depth + 1} t ON u.host = t.host AND u.segs = t.segs JOIN per ON per.host = t.host AND per.template = t.template
+"""
+
+
+SQL: dict[str, str] = {"op3_quality_rules": OP3, "op5_mixing": OP5, "op6_chat_format": OP6, "op7_url_filters": _op7()}

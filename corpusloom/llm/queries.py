@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import mixing, quality_rules, token_counts
+from corpusloom.llm import chat_format, mixing, quality_rules, simhash, token_counts, url_filters
 
 TOKENIZER, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
@@ -35,15 +35,33 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("_row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    return chat_format.digest(chat_format.expand(turns.unionByName(own)))
+
+
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
         "op3_quality_rules": op3_quality_rules,
+        "op4_simhash": op4_simhash,
         "op5_mixing": op5_mixing,
+        "op6_chat_format": op6_chat_format,
+        "op7_url_filters": op7_url_filters,
     }
 
 
