@@ -117,5 +117,12 @@ SELECT page_id, u.host, path, r.rule AS rule, coalesce(r.verdict, CASE WHEN (b +
 FROM u JOIN r{depth + 1} t ON u.host = t.host AND u.segs = t.segs JOIN per ON per.host = t.host AND per.template = t.template
 """
 
+OP9 = """
+WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 1000 AND page_id < first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id < first THEN first END AS refers_to
+FROM m
+"""
 
-SQL: dict[str, str] = {"op3_quality_rules": OP3, "op5_mixing": OP5, "op6_chat_format": OP6, "op7_url_filters": _op7()}
+SQL: dict[str, str] = {"op3_quality_rules": OP3, "op5_mixing": OP5, "op6_chat_format": OP6, "op7_url_filters": _op7(), "op9_warc": OP9}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import chat_format, mixing, quality_rules, simhash, token_counts, url_filters
+from corpusloom.llm import chat_format, mixing, quality_rules, simhash, token_counts, url_filters, warc
 
 TOKENIZER, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
@@ -54,6 +54,10 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(table(spark, sf_dir, "pages"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -62,6 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_mixing": op5_mixing,
         "op6_chat_format": op6_chat_format,
         "op7_url_filters": op7_url_filters,
+        "op9_warc": op9_warc,
     }
 
 
