@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import chat_format, mixing, quality_rules, simhash, token_counts, url_filters, warc
+from corpusloom.llm import chat_format, mixing, quality_rules, sentencepiece_codec, simhash, token_counts, url_filters, warc
 
 TOKENIZER, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
@@ -58,6 +58,10 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.encode_documents(table(spark, sf_dir, "documents"), tokenizer_path(PIECES))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -67,6 +71,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_chat_format": op6_chat_format,
         "op7_url_filters": op7_url_filters,
         "op9_warc": op9_warc,
+        "op10_sentencepiece": op10_sentencepiece,
     }
 
 
