@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import chat_format, mixing, quality_rules, sentencepiece_codec, simhash, token_counts, url_filters, warc
+from corpusloom.llm import ann, chat_format, mixing, quality_rules, sentencepiece_codec, simhash, token_counts, url_filters, warc
 
 TOKENIZER, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
@@ -54,6 +54,10 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(table(spark, sf_dir, "pages"))
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -70,6 +74,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_mixing": op5_mixing,
         "op6_chat_format": op6_chat_format,
         "op7_url_filters": op7_url_filters,
+        "op8_neighbours": op8_neighbours,
         "op9_warc": op9_warc,
         "op10_sentencepiece": op10_sentencepiece,
     }
