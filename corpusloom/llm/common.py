@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,3 +56,15 @@ def lower_ascii(text: Column) -> Column:
 def small_arrow_batches(spark: SparkSession, rows: int = 256) -> None:
     """Bounds what one Arrow batch holds when texts are long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def byte_groups(sizes: list[int], limit: int) -> Iterator[range]:
+    """Consecutive ranges of rows of at most limit bytes, or of one row."""
+    start = total = 0
+    for i, n in enumerate(sizes):
+        if i > start and total + n > limit:
+            yield range(start, i)
+            start, total = i, 0
+        total += n
+    if sizes:
+        yield range(start, len(sizes))

@@ -1,12 +1,12 @@
 """SentencePiece BPE encoding with seeded merge-dropout, and decoding.
 
 The agenda of a unit holds every pair of neighbours that make a piece, best score first, leftmost first among equals. A pair
-that is taken from it is merged, or skipped if a keyed hash of (seed, variant, unit, position, piece) is below the dropout rate; it comes back only
+that is taken from it is merged, or skipped if a keyed hash of (seed, variant, unit, number of the candidate, piece) is below the dropout rate; it comes back only
 with new neighbours. Without dropout the pieces are those of the library.
 
 No piece joins a character to a space behind it (checked when the model is loaded), so that units, words with the spaces
-before them, are independent and texts of any length need no more than the unit at hand. A keyed hash of the
-document's id gives each unit one of VARIANTS variants; units that recur are looked up. The character
+before them, are independent (runs of letters and of other signs, where no piece joins these either) and texts of any length need no more than the unit at hand. A keyed hash of the
+document's id and its place give each unit one of VARIANTS variants; units that recur are looked up. The character
 U+2581, which the library takes for a space, and characters without a piece are written as bytes: decoding always gives the text back.
 
 Null texts are empty and have no pieces. Repeated rows are encoded alike, as the hash depends on id and text only.
@@ -19,7 +19,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, cycle, islice, pairwise
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +27,26 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import small_arrow_batches
+from corpusloom.llm.common import byte_groups, small_arrow_batches
 
 DROPOUT, SEED, VARIANTS, CACHE_ENTRIES = 0.1, 42, 4, 600_000
-_MASK, _NONE = (1 << 64) - 1, 1 << 30
-_UNIT = re.compile(r" *[^ \n]+|\n| +")
+GROUP_BYTES = 1 << 20
+_NONE, _SHORT, _SPREAD = 1 << 30, 48, 0x9E3779B97F4A7C15
+_WORD_UNIT = re.compile(r" *[^ \n]+|\n| +")
+_LETTER, _OTHER = r"[^\W\d_²³¹¼½¾]", r"(?:[^\w \n]|[\d_²³¹¼½¾])"
+_SCRIPT_UNIT = re.compile(f" *{_LETTER}+| *{_OTHER}+|\n| +")
+_MIXED = re.compile(f"{_LETTER}{_OTHER}|{_OTHER}{_LETTER}")
+
+
+def _hash(base: int, step: int, rank: int) -> int:
+    """32 bits from the hash of seed, variant and unit, the number of the candidate and its piece."""
+    x = (base ^ rank * 0x9E3779B1 ^ step * 0x85EBCA77) & 0xFFFFFFFF
+    return (x ^ x >> 15) * 0x2C1B3C6D & 0xFFFFFFFF
+
+
+def _hash_many(base: np.ndarray, step: int, rank: np.ndarray) -> np.ndarray:
+    x = base ^ rank.astype(np.uint32) * np.uint32(0x9E3779B1) ^ np.uint32(step * 0x85EBCA77 & 0xFFFFFFFF)
+    return (x ^ x >> np.uint32(15)) * np.uint32(0x2C1B3C6D)
 
 
 class Codec:
@@ -40,7 +55,7 @@ class Codec:
 
         sp = SentencePieceProcessor(model_file=path)
         n = sp.get_piece_size()
-        self.seed, self.limit = seed, int(dropout * (1 << 64))
+        self.seed, self.limit = seed, int(dropout * (1 << 32))
         self.bytes_of: list[bytes] = [b""] * n
         self.byte_ids = [0] * 256
         ranked: dict[str, tuple[float, int]] = {}
@@ -55,22 +70,108 @@ class Codec:
                 ranked[text] = (-sp.get_score(i), i)
         if any("\n" in x or " " in x.lstrip(" ") for x in ranked):
             raise ValueError("a piece spans a line feed, or a space that follows another character")
-        scores = {score: r for r, score in enumerate(sorted({score for score, _ in ranked.values()}))}
-        self.ranks, self.ids = {x: scores[score] for x, (score, _) in ranked.items()}, {x: i for x, (_, i) in ranked.items()}
-        # the variant of each place, by a keyed hash; a document begins where the hash of its id says
-        self.turns = [xxhash.xxh64_intdigest(i.to_bytes(4, "little"), seed=seed) % VARIANTS if self.limit else 0 for i in range(1 << 14)]
+        # where no piece joins a letter to another sign, as in models trained by script, words without their punctuation are units
+        self.units = (_WORD_UNIT if any(map(_MIXED.search, ranked)) else _SCRIPT_UNIT).findall
+        order = {score: r for r, score in enumerate(sorted({score for score, _ in ranked.values()}))}
+        self.ranks, self.ids = {x: order[score] for x, (score, _) in ranked.items()}, {x: i for x, (_, i) in ranked.items()}
+        self._tables()
         lengths = np.array([len(b) for b in self.bytes_of])
         self.lengths, self.starts = lengths, np.cumsum(lengths) - lengths
         self.blob = np.frombuffer(b"".join(self.bytes_of), np.uint8)
         self.known: list[dict[str, tuple[bytes, int]]] = [{} for _ in range(VARIANTS)]
 
-    def _skips(self, base: int, step: int, rank: int) -> bool:
-        return ((base ^ rank) + step * 0x9E3779B97F4A7C15) * 0xC2B2AE3D27D4EB4F + 0xFF51AFD7ED558CCD & _MASK < self.limit
+    def _tables(self) -> None:
+        """For the agendas of many units at once: symbols are numbers, and a hash table has the rank of each pair that makes a piece."""
+        names = [*self.ids, *sorted({c for x in self.ids for c in x} - self.ids.keys())]
+        number = {x: k for k, x in enumerate(names)}
+        self.symbols, unknown = len(names), len(names)
+        self.of_char = np.full(0x110000, unknown, np.int64)
+        for x, k in number.items():
+            if len(x) == 1:
+                self.of_char[ord(x)] = k
+        self.id_of = np.array([self.ids.get(x, -1) for x in names] + [-1], np.int32)
+        pairs = {number[x[:i]] * (unknown + 1) + number[x[i:]]: x for x in self.ranks for i in range(1, len(x)) if x[:i] in number and x[i:] in number}
+        self.bits = max(4, (2 * len(pairs)).bit_length() + 1)
+        self.pair_keys, self.pair_ranks, self.pair_made = (np.full(1 << self.bits, x, np.int64) for x in (-1, _NONE, unknown))
+        for key, x in pairs.items():
+            at = key * _SPREAD >> 64 - self.bits & (1 << self.bits) - 1
+            while self.pair_keys[at] >= 0:
+                at = at + 1 & (1 << self.bits) - 1
+            self.pair_keys[at], self.pair_ranks[at], self.pair_made[at] = key, self.ranks[x], number[x]
+
+    def _slot(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Where the hash table has each two symbols; an empty place if they make no piece."""
+        key = a * (self.symbols + 1) + b
+        at = (key.astype(np.uint64) * np.uint64(_SPREAD) >> np.uint64(64 - self.bits)).astype(np.int64)
+        todo = np.arange(len(key))
+        while len(todo):
+            there = self.pair_keys[at[todo]]
+            todo = todo[(there >= 0) & (there != key[todo])]
+            at[todo] = at[todo] + 1 & (1 << self.bits) - 1
+        return at
+
+    def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return self.pair_ranks[self._slot(a, b)]
 
-    def encode_unit(self, unit: str, variant: int) -> tuple[bytes, int]:
-        """The ids as int32s, and how many merges were skipped."""
-        base = xxhash.xxh64_intdigest(unit, seed=self.seed * VARIANTS + variant) if self.limit else 0
-        symbols, skipped = self._long(unit, base) if len(unit) > 48 else self._short(unit, base)
+    def _many(self, units: list[str], bases: list[int]) -> list[bytes | None]:
+        """encode_unit of many units of up to _SHORT characters, one candidate of each at a time; None for those with signs that have no number."""
+        n = np.array([len(u) for u in units])
+        chars = self.of_char[np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)]
+        width, rows = int(n.max()), np.repeat(np.arange(len(units)), n)
+        sym = np.full((len(units), width + 1), self.symbols, np.int64)
+        sym[rows, np.arange(len(chars)) - np.repeat(np.cumsum(n) - n, n)] = chars
+        ranks = self._rank(sym[:, :-1].ravel(), sym[:, 1:].ravel()).reshape(len(units), width)
+        base, limit, step = np.array(bases, np.uint32), self.limit, 0
+        live, columns, done = np.arange(len(units)), np.arange(width), sym.copy()
+        while True:
+            best = ranks.argmin(axis=1)
+            rank = ranks[np.arange(len(live)), best]
+            if not (on := rank < _NONE).all():
+                done[live[~on]] = sym[~on]
+                live, sym, ranks, best, rank, base = live[on], sym[on], ranks[on], best[on], rank[on], base[on]
+            if not len(live):
+                break
+            step += 1
+            skip = _hash_many(base, step, rank) < limit
+            ranks[skip, best[skip]] = _NONE
+            rows = np.flatnonzero(~skip)
+            at = best[rows]
+            from_ = columns + (columns > at[:, None])
+            part = sym[rows]
+            k = np.arange(len(rows))
+            made = self.pair_made[self._slot(part[k, at], part[k, at + 1])]
+            part[:, :-1] = np.take_along_axis(part, from_, axis=1)
+            part[:, -1] = self.symbols
+            part[k, at] = made
+            near = ranks[rows]
+            near = np.take_along_axis(near, np.minimum(from_, width - 1), axis=1)
+            near[:, -1] = _NONE
+            near[k, at] = self._rank(part[k, at], part[k, at + 1])
+            some = at > 0
+            near[k[some], at[some] - 1] = self._rank(part[k[some], at[some] - 1], part[k[some], at[some]])
+            sym[rows], ranks[rows] = part, near
+        ids, lengths = self.id_of[done], (done < self.symbols).sum(axis=1)
+        known = (n > 0) & ~((ids < 0) & (np.arange(width + 1) < lengths[:, None])).any(axis=1)
+        known &= np.bincount(np.repeat(np.arange(len(units)), n), chars == self.symbols, len(units)) == 0
+        return [row[:m].tobytes() if ok else None for row, m, ok in zip(ids, lengths.tolist(), known.tolist(), strict=True)]
+
+    def learn(self, units: set[str], variant: int) -> dict[str, bytes]:
+        """Encodings of units, kept for later if they aren't long."""
+        out, short = {}, sorted((u for u in units if len(u) <= _SHORT), key=len)
+        for start in range(0, len(short), 4096):
+            part = short[start : start + 4096]
+            for u, got in zip(part, self._many(part, [self._base(u, variant) for u in part]), strict=True):
+                out[u] = self.encode_unit(u, variant) if got is None else got
+        self.known[variant].update(out)
+        return out | {u: self.encode_unit(u, variant) for u in units if len(u) > _SHORT}
+
+    def _base(self, unit: str, variant: int) -> int:
+        return xxhash.xxh32_intdigest(unit, seed=self.seed * VARIANTS + variant & 0xFFFFFFFF) if self.limit else 0
+
+    def encode_unit(self, unit: str, variant: int) -> bytes:
+        """The ids as int32s."""
+        base = self._base(unit, variant)
+        symbols, _ = self._long(unit, base) if len(unit) > _SHORT else self._short(unit, base)
         ids = array("i")
         get = self.ids.get
         for s in symbols:
@@ -78,17 +179,17 @@ class Codec:
                 ids.append(i)
             else:
                 ids.extend([self.byte_ids[b] for b in s.encode()])
-        return ids.tobytes(), skipped
+        return ids.tobytes()
 
     def _short(self, unit: str, base: int) -> tuple[list[str], int]:
         """The agenda is a list with the rank of each pair; min and index find the best, the leftmost of equals."""
-        get, limit, skipped, step = self.ranks.get, self.limit, 0, 0
+        get, skips, limit, skipped, step = self.ranks.get, _hash, self.limit, 0, 0
         sym = list(unit)
         agenda = [get(a + b, _NONE) for a, b in pairwise(sym)]
         while agenda and (best := min(agenda)) != _NONE:
             i = agenda.index(best)
             step += 1
-            if limit and ((base ^ best) + step * 0x9E3779B97F4A7C15) * 0xC2B2AE3D27D4EB4F + 0xFF51AFD7ED558CCD & _MASK < limit:  # _skips, in line
+            if limit and skips(base, step, best) < limit:
                 agenda[i] = _NONE
                 skipped += 1
                 continue
@@ -113,7 +214,7 @@ class Codec:
             if not sym[i] or not sym[j] or len(sym[i]) + len(sym[j]) != size:
                 continue
             step += 1
-            if self.limit and self._skips(base, step, rank):
+            if self.limit and _hash(base, step, rank) < self.limit:
                 skipped += 1
                 continue
             sym[i] += sym[j]
@@ -127,24 +228,22 @@ class Codec:
                 heapq.heappush(agenda, (r, h, i, len(sym[h]) + len(sym[i])))
         return [s for s in sym if s], skipped
 
-    def encode(self, text: str, key: int = 0) -> tuple[np.ndarray, int]:
-        """ids and the number of skipped merges; key varies what is skipped."""
-        if not text:
-            return np.empty(0, np.int32), 0
-        units = _UNIT.findall(f" {text}")
+    def encode_batch(self, texts: list[str], keys: list[int]) -> list[np.ndarray]:
+        """ids of each text; its key varies what is skipped."""
         if sum(map(len, self.known)) > CACHE_ENTRIES:
             for own in self.known:
                 own.clear()
-        known, out, skipped = self.known, [], 0
-        at = xxhash.xxh64_intdigest(key.to_bytes(16, "little", signed=True), seed=self.seed) % len(self.turns)
-        for unit, v in zip(units, chain(islice(self.turns, at, None), cycle(self.turns)), strict=False):
-            if (got := known[v].get(unit)) is None:
-                got = self.encode_unit(unit, v)
-                if len(unit) <= 64:
-                    known[v][unit] = got
-            out.append(got[0])
-            skipped += got[1]
-        return np.frombuffer(b"".join(out), np.int32), skipped
+        lists = [self.units(f" {x}") if x else [] for x in texts]
+        for v in range(VARIANTS):  # every fourth unit of a text has the variant, from a place that depends on the key
+            own, places = self.known[v], [slice((v - k) % VARIANTS, None, VARIANTS) for k in keys]
+            parts = [u[at] for u, at in zip(lists, places, strict=True)]
+            new = self.learn(set().union(*parts).difference(own), v)
+            for u, at, part in zip(lists, places, parts, strict=True):
+                u[at] = [own[x] if x in own else new[x] for x in part] if new else map(own.__getitem__, part)
+        return [np.frombuffer(b"".join(u), np.int32) for u in lists]
+
+    def encode(self, text: str, key: int = 0) -> np.ndarray:
+        return self.encode_batch([text], [key])[0]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of the pieces, without the space that encoding put before it."""
@@ -161,31 +260,32 @@ def codec(path: str, dropout: float, seed: int) -> Codec:
 
 
 def encode_documents(docs: DataFrame, model_path: str, dropout: float = DROPOUT, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_bytes, n_pieces, n_skipped, lossless (the ids, decoded, are the text), ids of each row."""
+    """id, n_bytes, n_pieces, lossless (the ids, decoded, are the text), ids of each row."""
     small_arrow_batches(docs.sparkSession)
     id_type = docs.select(F.col(id_col)).schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model_path, dropout, seed)
         for batch in batches:
-            ids, sizes, skipped, same, n_bytes = [], [0], [], [], []
-            for key, text in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
-                text = text.as_py()
-                got, s = own.encode(text, key)
-                ids.append(got)
-                sizes.append(sizes[-1] + len(got))
-                skipped.append(s)
-                same.append(own.decode(got) == text)
-                n_bytes.append(len(text.encode()))
+            keys, texts = batch.column(1).to_pylist(), batch.column(2)
+            n_bytes = batch.column(3).to_pylist()
+            ids, sizes, same = [], [0], []
+            for rows in byte_groups(n_bytes, GROUP_BYTES):
+                part = texts.slice(rows.start, len(rows)).to_pylist()
+                for text, got in zip(part, own.encode_batch(part, keys[rows.start : rows.stop]), strict=True):
+                    ids.append(got)
+                    sizes.append(sizes[-1] + len(got))
+                    same.append(own.decode(got) == text)
             flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
             lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat, pa.int32()))
             counts = np.diff(sizes)
-            columns = [batch.column(0), pa.array(n_bytes, pa.int64()), pa.array(counts, pa.int64()), pa.array(skipped, pa.int64()), pa.array(same, pa.bool_()), lists]
-            yield pa.RecordBatch.from_arrays(columns, [id_col, "n_bytes", "n_pieces", "n_skipped", "lossless", "ids"])
+            columns = [batch.column(0), pa.array(n_bytes, pa.int64()), pa.array(counts, pa.int64()), pa.array(same, pa.bool_()), lists]
+            yield pa.RecordBatch.from_arrays(columns, [id_col, "n_bytes", "n_pieces", "lossless", "ids"])
 
     key = F.xxhash64(F.col(id_col).cast("string"))
-    rows = docs.select(F.col(id_col), key.alias("_key"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    return rows.mapInArrow(run, f"`{id_col}` {id_type}, n_bytes long, n_pieces long, n_skipped long, lossless boolean, ids array<int>")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col), key.alias("_key"), text.alias("_text"), F.octet_length(text).cast("long").alias("_bytes"))
+    return rows.mapInArrow(run, f"`{id_col}` {id_type}, n_bytes long, n_pieces long, lossless boolean, ids array<int>")
 
 
 def decode_documents(encoded: DataFrame, model_path: str, id_col: str = "doc_id") -> DataFrame:

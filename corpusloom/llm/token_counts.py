@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import small_arrow_batches
+from corpusloom.llm.common import byte_groups, small_arrow_batches
 
 GROUP_BYTES = 1 << 20
 CACHE_ENTRIES = 600_000
@@ -38,18 +38,6 @@ def safe_pieces(text: str) -> list[str]:
     return [head, *[f" {x}" for x in rest]] if head else [f" {x}" for x in rest]
 
 
-def byte_groups(sizes: list[int], limit: int = GROUP_BYTES) -> Iterator[range]:
-    """Consecutive ranges of rows of at most limit bytes, or of one row."""
-    start = total = 0
-    for i, n in enumerate(sizes):
-        if i > start and total + n > limit:
-            yield range(start, i)
-            start, total = i, 0
-        total += n
-    if sizes:
-        yield range(start, len(sizes))
-
-
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
@@ -73,7 +61,7 @@ class PieceCounter:
             self.known = {}
         known, pieces = self.known, [safe_pieces(x) for x in texts]
         new = list(set().union(*pieces).difference(known))
-        for rows in byte_groups([len(p) for p in new]):
+        for rows in byte_groups([len(p) for p in new], GROUP_BYTES):
             part = new[rows.start : rows.stop]
             known.update(zip(part, map(len, self.encode(part, add_special_tokens=False)), strict=True))
         get = known.__getitem__
@@ -92,7 +80,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 1024, id_col
             texts = batch.column(1)
             sizes = batch.column(2).to_pylist()
             n: list[int] = []
-            for rows in byte_groups(sizes):
+            for rows in byte_groups(sizes, GROUP_BYTES):
                 n += counter.counts(texts.slice(rows.start, len(rows)).to_pylist())
             tokens = pa.array(n, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), tokens, pa.array([x > limit for x in n], pa.bool_())], [id_col, "n_bytes", "n_tokens", "over_limit"])
