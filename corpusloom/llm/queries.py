@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import ann, chat_format, mixing, quality_rules, sentencepiece_codec, simhash, token_counts, url_filters, warc
+from corpusloom.llm import ann, chat_format, lm_scoring, mixing, quality_rules, sentencepiece_codec, simhash, token_counts, url_filters, warc
 
 TOKENIZER, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
@@ -26,6 +26,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(TOKENIZER))
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     counts = quality_rules.text_counts(docs)
@@ -69,6 +73,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
+        "op2_lm_scoring": op2_lm_scoring,
         "op3_quality_rules": op3_quality_rules,
         "op4_simhash": op4_simhash,
         "op5_mixing": op5_mixing,
