@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,3 +69,10 @@ def byte_groups(sizes: list[int], limit: int) -> Iterator[range]:
         total += n
     if sizes:
         yield range(start, len(sizes))
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The same rows, written as Parquet to the shared folder and read again; unlike after cut() columns can be pruned."""
+    path = f"{shared_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import SPACES, cut, let, words_of
+from corpusloom.llm.common import SPACES, cut, let, stored, words_of
 
 ALPHA, DELTA, MAX_STRATA = 0.02, 0.05, 1024
 #: A text is rejected if the signal, an integer, is over the cutoff.
@@ -129,3 +129,10 @@ def judge(counts: DataFrame, cutoffs: DataFrame, stratum_col: str = "lang") -> D
     stratum = F.when(own.isin(known), own).otherwise(F.lit("other")) if known else own
     out = counts.withColumn("_stratum", stratum).join(F.broadcast(named), "_stratum", "left")
     return out.withColumn("kept", ~F.col("base_failed") & ~hit).drop("_stratum", *[f"_{s}" for s in GRIDS])
+
+
+def kept_rows(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", stratum_col: str = "lang") -> DataFrame:
+    """The rows of docs that are kept. Rows and counts are stored once, so that the texts are gone through once and are never shuffled."""
+    counts = stored(text_counts(docs, text_col))
+    cutoffs = cut(certified_cutoffs(counts, labels, id_col=id_col, stratum_col=stratum_col))
+    return judge(counts, cutoffs, stratum_col).filter("kept").select("_row.*")
