@@ -119,9 +119,7 @@ _NGRAM_SCHEMA = "chars long, " + ", ".join(f"top_{n} long" for n in TOP_CAPS) +
 _WORDS = re.compile(r"\w+").findall
 
 
-@F.pandas_udf(_NGRAM_SCHEMA)
-def ngram_chars(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    """Characters in all words, in all copies of the most frequent n-gram, and in one copy of each repeated n-gram."""
+def _ngram_chars(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for part in texts:
         rows = []
         for t in part:
@@ -130,6 +128,11 @@ def ngram_chars(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["chars", *[f"top_{n}" for n in TOP_CAPS], *[f"dup_{n}" for n in DUP_CAPS]])
 
 
+def ngram_chars(text: Column) -> Column:
+    """Characters in all words, in all copies of the most frequent n-gram, and in one copy of each repeated n-gram."""
+    return F.pandas_udf(_ngram_chars, _NGRAM_SCHEMA)(text)
+
+
 def repetition_reason(text: Column, grams: Column) -> Column:
     """First repetition rule that fails; grams as of ngram_chars."""
     line, para = duplicate_parts(tx.lines(text)), duplicate_parts(tx.paragraphs(text))

@@ -44,11 +44,14 @@ def total_length(parts: Column) -> Column:
     return F.length(F.array_join(parts, ""))
 
 
-@F.pandas_udf("string")
-def nfc(text: pd.Series) -> pd.Series:
+def _nfc(text: pd.Series) -> pd.Series:
     return text.map(lambda x: x if x is None or unicodedata.is_normalized("NFC", x) else unicodedata.normalize("NFC", x))
 
 
+def nfc(text: Column) -> Column:
+    return F.pandas_udf(_nfc, "string")(text)
+
+
 def normalize(text: Column) -> Column:
     """NFC, then without zero-width signs and controls, blanks and tabs as one blank, at most one empty line in a row, stripped."""
     out = F.regexp_replace(F.translate(nfc(text), ZERO_WIDTH, ""), CONTROLS, "")

@@ -22,12 +22,13 @@ def local_reasons(docs: DataFrame, s: Settings) -> DataFrame:
     rows = rows.withColumns({"_r0": first, "_lang": filters.detect_language(F.col("_norm"))})
     rows = rows.withColumn("_r1", F.coalesce("_r0", filters.language_reason(F.col("_lang.lang"), F.col("_lang.score"), c.lang_allow, c.lang_score_min)))
     rows = rows.withColumn("_grams", filters.ngram_chars(F.when(F.col("_r1").isNull(), F.col("_norm")).otherwise("")))
-    rows = rows.withColumn("_r2", F.when(F.col("_r1").isNotNull(), F.col("_r1")).otherwise(filters.repetition_reason(F.col("_norm"), F.col("_grams"))))
-    rows = rows.withColumn("_r3", F.when(F.col("_r2").isNotNull(), F.col("_r2")).otherwise(filters.gopher_reason(F.col("_norm"), F.col("_lang.lang"), c.gopher_quality, c.vi_overrides)))
-    rows = rows.withColumn("_c4", F.when(F.col("_r3").isNull(), filters.c4_clean(F.col("_norm"))))
-    after = lambda x: F.coalesce(x["reason"], filters.shrunk_reason(x["text"], c.gopher_quality.min_words), filters.list_like_reason(x["text"]))
-    rows = rows.withColumn("_r4", F.when(F.col("_r3").isNotNull(), F.col("_r3")).otherwise(after(F.col("_c4"))))
-    return rows.select(*[x for x in docs.columns if x not in ("text", "lang", "drop_reason")], F.col("_lang.lang").alias("lang"), F.col("_c4.text").alias("text"), F.col("_r4").alias("drop_reason"))
+    rows = rows.withColumn("_c4", filters.c4_clean(F.col("_norm")))
+    # coalesce() leaves out what comes after the first reason; each reason stands in it once, or the plan would double with every step
+    text = F.col("_c4.text")
+    rows = rows.withColumn(
+        "_r2", F.coalesce("_r1", filters.repetition_reason(F.col("_norm"), F.col("_grams")), filters.gopher_reason(F.col("_norm"), F.col("_lang.lang"), c.gopher_quality, c.vi_overrides),
+            F.col("_c4.reason"), filters.shrunk_reason(text, c.gopher_quality.min_words), filters.list_like_reason(text)))
+    return rows.select(*[x for x in docs.columns if x not in ("text", "lang", "drop_reason")], F.col("_lang.lang").alias("lang"), text.alias("text"), F.col("_r2").alias("drop_reason"))
 
 
 def clean(docs: DataFrame, s: Settings | None = None, benchmark: DataFrame | None = None, scorer=None, now: Column | None = None) -> tuple[DataFrame, DataFrame]:
