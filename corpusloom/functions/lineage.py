@@ -1,9 +1,9 @@
-"""Cutting lineage in loops."""
+"""Cutting lineage."""
 
 from __future__ import annotations
 
 import tempfile
-from contextlib import contextmanager
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,13 +21,23 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-@contextmanager
-def plain_plans(spark: SparkSession):
-    """Checkpoints hand the constraints of their plan on, which double with every round of a loop: none are derived inside."""
-    name = "spark.sql.constraintPropagation.enabled"
-    was = spark.conf.get(name)
-    spark.conf.set(name, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, was)
+class Scratch:
+    """Tables of a loop, written to the shared folder. A checkpoint hands the partitioning and the constraints of its plan on, which
+    grow with every round; a table that is read again has neither. free() deletes those that later rounds don't need."""
+
+    def __init__(self, spark: SparkSession):
+        ensure_checkpoint_dir(spark)
+        self.spark, self.base, self.paths = spark, f"{spark.sparkContext.getCheckpointDir()}/loop-{uuid.uuid4().hex}", {}
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        path = f"{self.base}/{len(self.paths)}"
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[len(self.paths)] = (out, path)
+        return out
+
+    def free(self, *tables: DataFrame) -> None:
+        for out, path in self.paths.values():
+            if any(out is t for t in tables):
+                p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+                p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)

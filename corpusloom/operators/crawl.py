@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.config import Crawl
 from corpusloom.functions import html, licence
 from corpusloom.functions import text as tx
-from corpusloom.functions.lineage import cut, plain_plans
+from corpusloom.functions.lineage import Scratch, cut
 
 DELAY_CAP, HOST_FACTOR = 30.0, 50
 
@@ -71,22 +71,22 @@ def crawl(pages: DataFrame, seeds: DataFrame, cfg: Crawl, robots: DataFrame | No
     Links stay on the hosts of the seeds. robots: host, disallow. A level is what the one before links to and no level had. The caps on pages of a host and
     in all are the settings' own and count in order of depth, then url."""
     check(cfg)
-    with plain_plans(pages.sparkSession):
-        seeds = seeds.select("url").distinct()
-        hosts = cut(seeds.select(tx.url_host(F.col("url")).alias("host")).distinct())
-        found = cut(page_links(pages).select("url", "link").distinct())
-        level = cut(seeds.select("url", F.lit(0).alias("depth")))
-        seen = level
-        ok = F.lit(True)
-        for x in cfg.url_exclude:
-            ok = ok & ~F.rlike("url", F.lit(x))
-        for depth in range(1, cfg.max_depth + 1):
-            nxt = level.filter(ok).join(found, "url").select(F.col("link").alias("url")).distinct()
-            nxt = nxt.withColumn("host", tx.url_host(F.col("url"))).join(hosts, "host", "left_semi").drop("host").join(seen.select("url"), "url", "left_anti")
-            level = cut(nxt.withColumn("depth", F.lit(depth)))
-            if level.isEmpty():
-                break
-            seen = cut(seen.unionByName(level))
+    scratch = Scratch(pages.sparkSession)
+    seeds = seeds.select("url").distinct()
+    hosts = scratch.cut(seeds.select(tx.url_host(F.col("url")).alias("host")).distinct())
+    found = scratch.cut(page_links(pages).select("url", "link").distinct())
+    level = scratch.cut(seeds.select("url", F.lit(0).alias("depth")))
+    seen = level
+    ok = F.lit(True)
+    for x in cfg.url_exclude:
+        ok = ok & ~F.rlike("url", F.lit(x))
+    for depth in range(1, cfg.max_depth + 1):
+        nxt = level.filter(ok).join(found, "url").select(F.col("link").alias("url")).distinct()
+        nxt = nxt.withColumn("host", tx.url_host(F.col("url"))).join(hosts, "host", "left_semi").drop("host").join(seen.select("url"), "url", "left_anti")
+        level = scratch.cut(nxt.withColumn("depth", F.lit(depth)))
+        if level.isEmpty():
+            break
+        seen = scratch.cut(seen.unionByName(level))
     rows = seen.withColumn("host", tx.url_host(F.col("url")))
     if robots is not None:
         rows = rows.join(robots.select("host", "disallow"), "host", "left")

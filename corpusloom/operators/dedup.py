@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.config import MinHash
 from corpusloom.functions import minhash
 from corpusloom.functions import text as tx
-from corpusloom.functions.lineage import cut, plain_plans
+from corpusloom.functions.lineage import Scratch, cut
 from corpusloom.operators.graph import components
 
 
@@ -37,18 +37,21 @@ def greedy_near_duplicates(docs: DataFrame, cfg: MinHash, seed: int = 42, seq: s
     Rows without words have no bands and stay.
     """
     keyed = docs.select(F.col(seq).alias("seq"), F.explode(minhash.bands(F.col(text), cfg, seed)).alias("band"), F.col(scope).alias("scope"))
-    with plain_plans(docs.sparkSession):
-        rows = cut(keyed.select("seq", F.xxhash64("scope", "band").alias("k1"), F.crc32(F.concat_ws("/", "scope", "band").cast("binary")).alias("k2"), F.lit(False).alias("stays")))
-        gone = None
-        while True:
-            per = rows.groupBy("k1", "k2").agg(F.min("seq").alias("first"), F.min(F.when(F.col("stays"), F.col("seq"))).alias("kept"))
-            seen = rows.join(per, ["k1", "k2"]).groupBy("seq").agg(F.first("stays").alias("stays"), F.max(F.coalesce(F.col("kept") < F.col("seq"), F.lit(False))).alias("goes"), F.min(F.col("first") == F.col("seq")).alias("leads"))
-            state = cut(seen.select("seq", (F.col("stays") | F.col("leads")).alias("now"), (~F.col("stays") & F.col("goes")).alias("goes")))
-            lost = state.filter("goes").select("seq")
-            gone = lost if gone is None else gone.unionByName(lost)
-            if state.filter("NOT now AND NOT goes").isEmpty():
-                break
-            rows = cut(rows.drop("stays").join(state.filter("NOT goes").select("seq", F.col("now").alias("stays")), "seq"))
+    scratch = Scratch(docs.sparkSession)
+    rows = scratch.cut(keyed.select("seq", F.xxhash64("scope", "band").alias("k1"), F.crc32(F.concat_ws("/", "scope", "band").cast("binary")).alias("k2"), F.lit(False).alias("stays")))
+    # a band that only one row has decides nothing
+    shared = rows.groupBy("k1", "k2").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    rows = scratch.cut(rows.join(shared, ["k1", "k2"]))
+    gone = rows.select("seq").limit(0)
+    while True:
+        per = rows.groupBy("k1", "k2").agg(F.min("seq").alias("first"), F.min(F.when(F.col("stays"), F.col("seq"))).alias("kept"))
+        seen = rows.join(per, ["k1", "k2"]).groupBy("seq").agg(F.first("stays").alias("stays"), F.max(F.coalesce(F.col("kept") < F.col("seq"), F.lit(False))).alias("goes"), F.min(F.col("first") == F.col("seq")).alias("leads"))
+        state = scratch.cut(seen.select("seq", (F.col("stays") | F.col("leads")).alias("now"), (~F.col("stays") & F.col("goes")).alias("goes")))
+        gone = gone.unionByName(state.filter("goes").select("seq"))
+        if state.filter("NOT now AND NOT goes").isEmpty():
+            break
+        old, rows = rows, scratch.cut(rows.drop("stays").join(state.filter("NOT goes").select("seq", F.col("now").alias("stays")), "seq"))
+        scratch.free(old)
     marked = gone.withColumn("is_dup", F.lit(True))
     return docs.select(F.col(seq).alias("seq")).join(marked, "seq", "left").select("seq", F.coalesce("is_dup", F.lit(False)).alias("is_dup"))
 

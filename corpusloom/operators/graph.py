@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.lineage import cut, plain_plans
+from corpusloom.functions.lineage import Scratch
 
 SALTS = 32
 
@@ -22,17 +22,25 @@ def _replace(rows: DataFrame, column: str, parents: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """edges: a, b (longs). Returns node, label: the smallest node that is reachable, for every node with an edge.
 
-    Each round gives every node its least neighbour as parent, if that is less, replaces parents by their parents, and
-    contracts the edges: an edge between two nodes becomes one between their parents. Nodes at least halve in a round; the least of a component
-    is never replaced. Every round is checkpointed.
+    Each round gives every node its least neighbour as parent, if that is less, and replaces parents by their parents until all are roots; an
+    edge between two nodes then becomes one between their roots. Every node that still has an edge is a root with another below it or not a root, so that the
+    roots are at most half of the nodes; the least node of a component stays. What a round makes is written to the shared folder.
     """
-    with plain_plans(edges.sparkSession):
-        ends = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
-        both = cut(edges.filter("a <> b").select(ends.alias("e")).select("e.a", "e.b").distinct())
-        labels = cut(both.select(F.col("a").alias("node")).distinct().withColumn("label", F.col("node")))
-        while not both.isEmpty():
-            parents = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("up")))
-            parents = cut(_replace(parents.withColumnRenamed("up", "p"), "p", parents).withColumnRenamed("p", "up"))
-            labels = cut(_replace(labels, "label", parents))
-            both = cut(_replace(_replace(both, "a", parents), "b", parents).filter("a <> b").distinct())
-        return labels
+    scratch = Scratch(edges.sparkSession)
+    ends = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+    both = scratch.cut(edges.filter("a <> b").select(ends.alias("e")).select("e.a", "e.b").distinct())
+    labels = scratch.cut(both.select(F.col("a").alias("node")).distinct().withColumn("label", F.col("node")))
+    while not both.isEmpty():
+        parents = scratch.cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("up")))
+        while True:
+            jumped = _replace(parents.select("node", F.col("up").alias("p"), F.col("up").alias("was")), "p", parents)
+            jumped = scratch.cut(jumped.select("node", F.col("p").alias("up"), (F.col("p") < F.col("was")).alias("moved")))
+            old, parents = parents, jumped
+            scratch.free(old)
+            if parents.filter("moved").isEmpty():
+                break
+        old = (labels, both)
+        labels = scratch.cut(_replace(labels, "label", parents))
+        both = scratch.cut(_replace(_replace(both, "a", parents), "b", parents).filter("a <> b").distinct())
+        scratch.free(parents, *old)
+    return labels
