@@ -1,51 +1,5 @@
 """Connected components of an edge table, by joins."""
 
-from __future__ import annotations
+from corpusloom.operators.graph import components
 
-from contextlib import contextmanager
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from corpusloom.llm.common import cut
-
-SALTS = 32
-
-
-@contextmanager
-def _plain_plans(spark: SparkSession):
-    """Checkpoints hand the constraints of their plan on, which double with every round of a loop: none are derived inside."""
-    name = "spark.sql.constraintPropagation.enabled"
-    was = spark.conf.get(name)
-    spark.conf.set(name, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, was)
-
-
-def _replace(rows: DataFrame, column: str, parents: DataFrame) -> DataFrame:
-    """Values of the column are replaced by their parent where they have one. parents: node, up. They are listed once for each of
-    SALTS salts, so that the rows of a large component meet them in as many tasks."""
-    salted = parents.select(F.col("node").alias(column), "up", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("salt"))
-    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")
-    out = rows.withColumn("salt", salt).join(salted, [column, "salt"], "left")
-    return out.withColumn(column, F.coalesce("up", column)).select(*rows.columns)
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """edges: a, b (longs). Returns node, label: the smallest node that is reachable, for every node with an edge.
-
-    Each round gives every node its least neighbour as parent, if that is less, replaces parents by their parents, and
-    contracts the edges: an edge between two nodes becomes one between their parents. Nodes at least halve in a round; the least of a component
-    is never replaced. Every round is checkpointed.
-    """
-    with _plain_plans(edges.sparkSession):
-        both = cut(edges.filter("a <> b").select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.a", "e.b").distinct())
-        labels = cut(both.select(F.col("a").alias("node")).distinct().withColumn("label", F.col("node")))
-        while not both.isEmpty():
-            parents = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("up")))
-            parents = cut(_replace(parents.withColumnRenamed("up", "p"), "p", parents).withColumnRenamed("p", "up"))
-            labels = cut(_replace(labels, "label", parents))
-            both = cut(_replace(_replace(both, "a", parents), "b", parents).filter("a <> b").distinct())
-        return labels
+__all__ = ["components"]
