@@ -4,7 +4,6 @@ import hashlib
 import math
 import re
 from collections import Counter, defaultdict
-from fractions import Fraction
 
 from corpusloom.llm.quality_rules import ALPHA, DELTA, GRIDS, MAX_STRATA, SYMBOLS
 
@@ -24,11 +23,11 @@ def counts(text):
 
 
 def tail(k, n, p):
-    p = Fraction(p)
-    return sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
+    log = lambda i: math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p)
+    return math.fsum(math.exp(log(i)) for i in range(k + 1))
 
 
-def quality(rows, labels):
+def quality(rows, labels, alpha=ALPHA):
     """rows: (doc_id, lang, text); labels: (doc_id, quality). (doc_id, counts, kept) of each row."""
     lab = {}
     for d, q in labels:
@@ -54,7 +53,7 @@ def quality(rows, labels):
     tests = (len(most) + 1) * sum(map(len, GRIDS.values()))
     best = {}
     for (lang, s, cut), (n, k, fg, fgr, fb, fbr) in sums.items():
-        if fbr * fg > fgr * fb and k < n * ALPHA / len(GRIDS) and tail(k, n, ALPHA / len(GRIDS)) <= DELTA / tests:
+        if fbr * fg > fgr * fb and k < n * alpha / len(GRIDS) and tail(k, n, alpha / len(GRIDS)) <= DELTA / tests:
             best[lang, s] = min(cut, best.get((lang, s), cut))
     hit = lambda lang, x: any((lang, s) in best and v > best[lang, s] for s, v in enumerate(x))
     return [(d, c, not c["base_failed"] and not hit(lang, x)) for d, lang, c, x in all_counts]
