@@ -41,10 +41,10 @@ def read_jsonl(spark: SparkSession, path: str, schema: str | T.StructType, stric
 def read_html(spark: SparkSession, path: str) -> DataFrame:
     """source_url, html, license of *.html files, with what a sidecar <name>.meta.json says; without one the file's own address."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.html").load(path)
-    pages = files.select(F.regexp_replace("path", r"\.html$", "").alias("stem"), F.decode(F.col("content"), F.lit("UTF-8")).alias("html"))
+    pages = files.select(F.regexp_replace("path", r"\.html$", "").alias("stem"), F.decode(F.col("content"), "UTF-8").alias("html"))
     try:
         meta = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.meta.json").load(path)
-        meta = meta.select(F.regexp_replace("path", r"\.meta\.json$", "").alias("stem"), F.from_json(F.decode(F.col("content"), F.lit("UTF-8")), "source_url string, license string").alias("m"))
+        meta = meta.select(F.regexp_replace("path", r"\.meta\.json$", "").alias("stem"), F.from_json(F.decode(F.col("content"), "UTF-8"), "source_url string, license string").alias("m"))
         pages = pages.join(meta, "stem", "left")
     except AnalysisException:  # no sidecars at all
         pages = pages.withColumn("m", F.lit(None).cast("struct<source_url:string,license:string>"))
