@@ -36,6 +36,12 @@ def budgets(sized: DataFrame, ratios: dict[str, float]) -> DataFrame:
     return by.withColumn("total", F.min(F.col("tokens") / F.col("ratio")).over(Window.partitionBy(F.lit(1)))).withColumn("budget", F.col("ratio") * F.col("total"))  # a row for each ratio
 
 
+def _range() -> Column:
+    """Which of RANGES ranges of equal width between lo and hi a row's seq is in; in doubles, as numbers may lie far apart."""
+    seq, lo, hi = (F.col(c).cast("double") for c in ("seq", "lo", "hi"))
+    return F.least(F.floor((seq - lo) / (hi - lo + 1) * RANGES), F.lit(RANGES - 1)).cast("int")
+
+
 def select(sized: DataFrame, ratios: dict[str, float]) -> DataFrame:
     """sized: seq, lang, tokens. The rows of each language, in order, until its budget is reached; the last may pass it. Without any language
     of the ratios, all rows. Adds used_before.
@@ -45,7 +51,7 @@ def select(sized: DataFrame, ratios: dict[str, float]) -> DataFrame:
     if goal.isEmpty():
         return sized.withColumn("used_before", F.lit(None).cast("long"))
     edges = sized.agg(F.min("seq").alias("lo"), F.max("seq").alias("hi"))
-    ranged = sized.join(F.broadcast(goal.select("lang", "budget")), "lang").join(F.broadcast(edges)).withColumn("_range", F.floor((F.col("seq") - F.col("lo")) * RANGES / (F.col("hi") - F.col("lo") + 1)).cast("int")).drop("lo", "hi")
+    ranged = sized.join(F.broadcast(goal.select("lang", "budget")), "lang").join(F.broadcast(edges)).withColumn("_range", _range()).drop("lo", "hi")
     sums = ranged.groupBy("lang", "_range").agg(F.sum("tokens").alias("_sum"))
     before = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(Window.partitionBy("lang").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_sum")  # RANGES rows for each ratio
     run = Window.partitionBy("lang", "_range").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
