@@ -52,11 +52,25 @@ def _by_class(word: np.ndarray) -> list[tuple[int, np.ndarray]]:
     return [(int(cls[rows[0]]), rows) for rows in np.split(order, cuts) if len(rows)]
 
 
+def _log_share(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """log_softmax(x) at one place of each row. Overwrites x. One shift for all rows is enough unless a row lies far below it."""
+    own = x[np.arange(len(at)), at].astype(np.float64)
+    top = x.max()
+    x -= top
+    sums = np.exp(x) @ np.ones(x.shape[1], np.float32)
+    if sums.min() < 1e-25:
+        rows = np.flatnonzero(sums < 1e-25)
+        own[rows] = _log_softmax(x[rows])[np.arange(len(rows)), at[rows]]
+        sums[rows] = 1
+        own[rows] += top
+    return own - top - np.log(sums)
+
+
 def word_log_probs(p: Params, h: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Natural log-probability of each word after the state in the same row."""
-    out = _log_softmax(h @ p["c"] + p["cb"])[np.arange(len(word)), word // WORDS].astype(np.float64)
+    out = _log_share(h @ p["c"] + p["cb"], word // WORDS)
     for c, rows in _by_class(word):
-        out[rows] += _log_softmax(h[rows] @ p["w"][c] + p["wb"][c])[np.arange(len(rows)), word[rows] % WORDS]
+        out[rows] += _log_share(h[rows] @ p["w"][c] + p["wb"][c], word[rows] % WORDS)
     return out
 
 
@@ -101,11 +115,9 @@ def log_likelihoods(p: Params, docs: list[np.ndarray], end: int) -> np.ndarray:
         rows = slice(start, min(start + WINDOW, len(word)))
         states, m = [], live[rows]
         for t, n in zip(range(rows.start, rows.stop), m, strict=True):
-            h = h[:n]
-            h[before[t, :n] == end] = 0
+            h = h[:n] * (before[t, :n] != end)[:, None]
             h = _gates(p, before[t, :n], h)[-1]
             states.append(h)
-            h = h.copy()
         valid = np.arange(word.shape[1]) < m[:, None]
         ll = word_log_probs(p, np.concatenate(states), word[rows][valid])
         out += np.bincount(owner[rows][valid], ll, len(docs))

@@ -84,3 +84,10 @@ def test_state_is_carried_over_windows_and_probabilities_add_up():
         assert abs(ll - want) < 1e-3 * max(1, abs(want))
     h = rng.normal(0, 1, (1, gru.HIDDEN)).astype(np.float32)
     assert abs(np.exp(gru.word_log_probs(p, np.repeat(h, 64, axis=0), np.arange(64))).sum() - 1) < 1e-4
+
+
+def test_shares_of_rows_far_below_the_others():
+    x = np.array([[1.0, 2, -1e4], [-300, -301, -302], [90, 0, 1], [-1e4, -1e4, 5]], np.float32)
+    at = np.array([1, 2, 2, 2])
+    want = gru._log_softmax(x)[np.arange(4), at]
+    assert np.allclose(gru._log_share(x.copy(), at), want, atol=1e-4)
