@@ -74,15 +74,15 @@ def _dups(parts: str) -> str:
     return f"CAST(len({parts}) AS BIGINT) AS n, CAST(len({parts}) - len(list_distinct({parts})) AS BIGINT) AS dups, CAST({_length(parts)} AS BIGINT) AS chars, CAST({_length(parts)} - {_length(f'list_distinct({parts})')} AS BIGINT) AS dup_chars"
 
 
-def _grams() -> str:
+def _grams(ns: tuple[int, ...] = (*filters.TOP_CAPS, *filters.DUP_CAPS)) -> str:
     out = f"gw AS (SELECT doc_id, {_words('text')} AS w FROM d),\ngc AS (SELECT doc_id, {_length('w')} AS chars FROM gw)"
-    for n in (*filters.TOP_CAPS, *filters.DUP_CAPS):
+    for n in ns:
         out += f""",
 gp{n} AS (SELECT doc_id, i, w[i:i + {n - 1}] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - {n - 2})) AS i FROM gw)),
 gg{n} AS (SELECT doc_id, g, count(*) AS c, min(i) AS first, length(array_to_string(any_value(g), '')) AS k FROM gp{n} GROUP BY doc_id, g),
 gr{n} AS (SELECT doc_id, {"CASE WHEN max(c) > 1 THEN arg_max(c * k, c * 1000000000 - first) ELSE 0 END" if n in filters.TOP_CAPS else "coalesce(sum(k) FILTER (c > 1), 0)"} AS x FROM gg{n} GROUP BY doc_id)"""
-    cols = ", ".join(f"CAST(coalesce(gr{n}.x, 0) AS BIGINT) AS {'top' if n in filters.TOP_CAPS else 'dup'}_{n}" for n in (*filters.TOP_CAPS, *filters.DUP_CAPS))
-    joins = " ".join(f"LEFT JOIN gr{n} USING (doc_id)" for n in (*filters.TOP_CAPS, *filters.DUP_CAPS))
+    cols = ", ".join(f"CAST(coalesce(gr{n}.x, 0) AS BIGINT) AS {'top' if n in filters.TOP_CAPS else 'dup'}_{n}" for n in ns)
+    joins = " ".join(f"LEFT JOIN gr{n} USING (doc_id)" for n in ns)
     return out + f",\ngrams AS (SELECT doc_id, CAST(chars AS BIGINT) AS chars, {cols} FROM gc {joins})"
 
 
@@ -168,8 +168,8 @@ SQL: dict[str, str] = {
     "gopher_quality_reason": f"{RAW}, {LID}, {GOPHER} SELECT doc_id, reason FROM go",
     "dup_line_frac": f"WITH p AS (SELECT doc_id, {_lines('text')} AS l FROM documents) SELECT doc_id, {_dups('l')} FROM p",
     "dup_para_frac": f"WITH p AS (SELECT doc_id, {_paragraphs('text')} AS l FROM documents) SELECT doc_id, {_dups('l')} FROM p",
-    "top_ngram_frac": f"{RAW}, {GRAMS} SELECT doc_id, {', '.join(f'top_{n}' for n in filters.TOP_CAPS)} FROM grams",
-    "dup_ngram_frac": f"{RAW}, {GRAMS} SELECT doc_id, chars, {', '.join(f'dup_{n}' for n in filters.DUP_CAPS)} FROM grams",
+    "top_ngram_frac": f"{RAW}, {_grams(tuple(filters.TOP_CAPS))} SELECT doc_id, {', '.join(f'top_{n}' for n in filters.TOP_CAPS)} FROM grams",
+    "dup_ngram_frac": f"{RAW}, {_grams(tuple(filters.DUP_CAPS))} SELECT doc_id, chars, {', '.join(f'dup_{n}' for n in filters.DUP_CAPS)} FROM grams",
     "repetition_reason": f"{RAW}, {GRAMS}, {REPETITION} SELECT doc_id, reason FROM rep",
     "c4_clean": f"{RAW}, {C4} SELECT doc_id, text, reason FROM c4",
     "c4_shrunk": f"{RAW}, {C4} SELECT doc_id, {SHRUNK} AS reason FROM c4",
