@@ -95,8 +95,9 @@ def crawl(pages: DataFrame, seeds: DataFrame, cfg: Crawl, robots: DataFrame | No
     rows = rows.join(pages.select("url", F.lit(True).alias("there")).distinct(), "url", "left")
     first = F.when(~ok, "url_excluded").when(~allowed(F.col("url"), F.col("disallow")), "robots_disallowed").when(F.col("there").isNull(), "fetch_failed")
     rows = cut(rows.select("url", "depth", "host", first.alias("outcome")))
-    fine = rows.filter("outcome IS NULL")
+    fine = rows.filter("outcome IS NULL").drop("outcome")
     place = F.row_number().over(Window.partitionBy("host").orderBy("depth", "url"))
-    fine = fine.withColumn("outcome", F.when(place > cfg.per_host_concurrency * HOST_FACTOR, "host_cap").otherwise("fetched"))
-    kept = fine.filter("outcome = 'fetched'").orderBy("depth", "url").limit(cfg.max_pages)
-    return kept.unionByName(fine.filter("outcome = 'host_cap'")).unionByName(rows.filter("outcome IS NOT NULL")).drop("host")
+    under = cut(fine.withColumn("_place", place).filter(F.col("_place") <= cfg.per_host_concurrency * HOST_FACTOR).drop("_place"))  # cut to the cap before the shuffle
+    kept = under.orderBy("depth", "url").limit(cfg.max_pages).withColumn("outcome", F.lit("fetched"))
+    over = fine.join(under.select("url"), "url", "left_anti").withColumn("outcome", F.lit("host_cap"))
+    return kept.unionByName(over).unionByName(rows.filter("outcome IS NOT NULL")).drop("host")

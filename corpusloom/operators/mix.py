@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import text as tx
 
-RANGES = 64
+RANGES = 4096
 
 
 def record_text(columns: list[str]) -> Column:

@@ -80,11 +80,13 @@ def test_exact_duplicates_keep_the_first(spark):
     assert [r[0] for r in scopes] == ["per_source:h.example", "per_source:nothing"]
 
 
-def test_benchmark_overlap(spark):
+def test_benchmark_overlap(spark, monkeypatch):
     sentence = "What is the name of the river that runs through the old capital of France today"
     docs = spark.createDataFrame([(1, f"Before. {sentence.upper()}! After."), (2, sentence[:40]), (3, ""), (4, None)], "seq long, text string")
     bench = spark.createDataFrame([(sentence,), (sentence,), (None,)], "text string")
     assert {r.seq: r.n_hits for r in decontam.hits(docs, bench, 13).collect()} == {1: 4}
+    monkeypatch.setattr(decontam, "BROADCAST", 1)
+    assert {r.seq: r.n_hits for r in decontam.hits(docs, bench, 13).collect()} == {1: 4}
 
 
 def test_profile(spark):
