@@ -34,7 +34,9 @@ def query(f: Query) -> Query:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table in fewer parts than there are cores (a small one, in one file) is dealt out to all."""
+    df, cores = spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
