@@ -138,16 +138,17 @@ def repetition_reason(text: Column, grams: Column) -> Column:
     line, para = duplicate_parts(tx.lines(text)), duplicate_parts(tx.paragraphs(text))
     share = F.try_divide
 
-    def judge(x: Column) -> Column:
+    def parts(x: Column) -> Column:
         a, b = x["line"], x["para"]
         out = F.when(share(a["dups"], a["n"]) > LINE_CAP, F.lit("rep_dup_lines")).when(share(a["dup_chars"], a["chars"]) > LINE_CHAR_CAP, F.lit("rep_dup_line_chars"))
-        out = out.when(share(b["dups"], b["n"]) > PARA_CAP, F.lit("rep_dup_paras")).when(share(b["dup_chars"], b["chars"]) > PARA_CHAR_CAP, F.lit("rep_dup_para_chars"))
-        for kind, caps in (("top", TOP_CAPS), ("dup", DUP_CAPS)):
-            for n, cap in caps.items():
-                out = out.when(share(grams[f"{kind}_{n}"], grams["chars"]) > cap, F.lit(f"rep_{kind}_{n}gram"))
-        return out
-
-    return tx.let(F.struct(line.alias("line"), para.alias("para")), judge)
+        return out.when(share(b["dups"], b["n"]) > PARA_CAP, F.lit("rep_dup_paras")).when(share(b["dup_chars"], b["chars"]) > PARA_CHAR_CAP, F.lit("rep_dup_para_chars"))
+
+    later = None
+    for kind, caps in (("top", TOP_CAPS), ("dup", DUP_CAPS)):
+        for n, cap in caps.items():
+            over, name = share(grams[f"{kind}_{n}"], grams["chars"]) > cap, F.lit(f"rep_{kind}_{n}gram")
+            later = F.when(over, name) if later is None else later.when(over, name)
+    return F.coalesce(tx.let(F.struct(line.alias("line"), para.alias("para")), parts), later)
 
 
 def c4_clean(text: Column) -> Column:
