@@ -134,7 +134,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs whose id is their component's; of several rows with one id one stays. Rows with a null id stay."""
-    found = near_duplicates(docs.select(id_col, text_col), id_col, text_col)
+    return keep_first(docs, near_duplicates(docs.select(id_col, text_col), id_col, text_col), id_col)
+
+
+def keep_first(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """one_of_each with the components of found (id, component_id)."""
     ids = cut(found.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_id")).distinct())
     rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"))
     kept = rows.join(ids, "_id").groupBy("_id").agg(F.min_by("_row", F.xxhash64("_row")).alias("_row"))
