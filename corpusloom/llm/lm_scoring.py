@@ -2,8 +2,8 @@
 
 1. Words of all texts are counted (a text's end is a word too), those of training documents apart. A document is held out if the CRC-32 of its id modulo FOLDS is 0.
 2. The most frequent VOCABULARY words, the end and one word for all others are the model's words. Its output begins as their relative frequencies. In each
-   of ROUNDS rounds every task trains a copy by truncated backpropagation on the training documents that a hash of their id puts in the round (a
-   share SHARE of all, so that what is learned from grows with the corpus), and the copies are averaged, weighted by their words; sums are formed in two steps, so that no task gets all copies.
+   of ROUNDS rounds every task trains a copy by truncated backpropagation on the training documents that a hash of their id puts in the round (of
+   all, unless a smaller share than SHARE is asked for), so that each is learned from once, and the copies are averaged, weighted by their words; sums are formed in two steps, so that no task gets all copies.
 3. Every text is scored as a whole. A word outside the model's has the probability of "other" times its smoothed share of the other words' counts,
    (c + 0.1) / (M + 0.1 (U + 1)) with M the count of all other words and U of how many, so that the probabilities of all texts add up to one.
 
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm import gru
 from corpusloom.llm.common import cut, small_arrow_batches
 
-FOLDS, HOT, VOCABULARY, ROUNDS, SHARE, ALPHA = 10, 131_072, 2046, 2, 1 / 64, 0.1
+FOLDS, HOT, VOCABULARY, ROUNDS, SHARE, ALPHA = 10, 131_072, 2046, 2, 1.0, 0.1
 #: The end of a text among the words, which hold no white space.
 END = "\n"
 FLUSH, TOKENS, CHUNK = 400_000, 2_000_000, 8192

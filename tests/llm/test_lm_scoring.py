@@ -44,6 +44,22 @@ def test_counts_base_and_held_out_accuracy(spark, hot):
     assert sum(r.score for r in held) > sum(r.base_score for r in held) + 0.03 * sum(r.n_tokens for r in held)
 
 
+def test_every_training_document_is_learned_from(spark):
+    """By default, and each once: the copies' weights add up to all training tokens."""
+    df = spark.createDataFrame(prose(), "doc_id long, text string").repartition(3)
+    seen, average = [], lm_scoring._average
+
+    def counted(copies):
+        rows = lm_scoring.cut(copies)
+        seen.append(rows.filter("chunk = 0").groupBy().sum("weight").first()[0] or 0)
+        return average(rows)
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(lm_scoring, "_average", counted)
+        got = lm_scoring.score(df, vocabulary_size=40).first()
+    assert sum(seen) == got.train_tokens and len(seen) == lm_scoring.ROUNDS
+
+
 def test_empty_table_and_no_training_documents(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert lm_scoring.score(empty).count() == 0
