@@ -1,12 +1,12 @@
 """SentencePiece BPE encoding with seeded merge-dropout, and decoding.
 
 The agenda of a unit holds every pair of neighbours that make a piece, best score first, leftmost first among equals. A pair
-that is taken from it is merged, or skipped if a keyed hash of (seed, variant, unit, number of the candidate, piece) is below the dropout rate; it comes back only
-with new neighbours. Without dropout the pieces are those of the library.
+that is taken from it is merged, or skipped if a keyed hash of (seed, document's id, place, unit, number of the candidate) is below the dropout rate, so that every
+occurrence of a unit is drawn anew; a skipped pair comes back only with new neighbours. Without dropout the pieces are those of the library.
 
 No piece joins a character to a space behind it (checked when the model is loaded), so that units, words with the spaces
-before them, are independent (runs of letters and of other signs, where no piece joins these either) and texts of any length need no more than the unit at hand. A keyed hash of the
-document's id and its place give each unit one of VARIANTS variants; units that recur are looked up. The character
+before them, are independent (runs of letters and of other signs, where no piece joins these either) and texts of any length need no more than the unit at hand. What is skipped
+is a mask with a bit for each candidate, and a unit's pieces follow from it and the mask: units that recur with an equal mask are looked up, the others encoded. The character
 U+2581, which the library takes for a space, and characters without a piece are written as bytes: decoding always gives the text back.
 
 Null texts are empty and have no pieces. Repeated rows are encoded alike, as the hash depends on id and text only.
@@ -29,9 +29,12 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import byte_groups, small_arrow_batches
 
-DROPOUT, SEED, VARIANTS, CACHE_ENTRIES = 0.1, 42, 4, 600_000
+DROPOUT, SEED, CACHE_ENTRIES = 0.1, 42, 600_000
+#: Drawings of a unit that the tests hold against each other.
+VARIANTS = 4
 GROUP_BYTES = 1 << 20
-_NONE, _SHORT, _SPREAD = 1 << 30, 48, 0x9E3779B97F4A7C15
+#: Units up to _MASKED characters have 3 * (_MASKED - 1) < 64 candidates at most: those at first, and two with each merge.
+_NONE, _SHORT, _MASKED, _SPREAD = 1 << 30, 48, 22, 0x9E3779B97F4A7C15
 _WORD_UNIT = re.compile(r" *[^ \n]+|\n| +")
 _LETTER, _OTHER = r"[^\W\d_²³¹¼½¾]", r"(?:[^\w \n]|[\d_²³¹¼½¾])"
 _SCRIPT_UNIT = re.compile(f" *{_LETTER}+| *{_OTHER}+|\n| +")
@@ -49,6 +52,13 @@ def _hash_many(base: np.ndarray, step: int, rank: np.ndarray) -> np.ndarray:
     return (x ^ x >> np.uint32(15)) * np.uint32(0x2C1B3C6D)
 
 
+def _mix(x: np.ndarray) -> np.ndarray:
+    """64 bits from 64 bits."""
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
+
+
 class Codec:
     def __init__(self, path: str, dropout: float = DROPOUT, seed: int = SEED):
         from sentencepiece import SentencePieceProcessor
@@ -78,7 +88,13 @@ class Codec:
         lengths = np.array([len(b) for b in self.bytes_of])
         self.lengths, self.starts = lengths, np.cumsum(lengths) - lengths
         self.blob = np.frombuffer(b"".join(self.bytes_of), np.uint8)
-        self.known: list[dict[str, tuple[bytes, int]]] = [{} for _ in range(VARIANTS)]
+        self._forget()
+
+    def _forget(self) -> None:
+        """Empties what is looked up: units by number, their hashes and lengths, and pieces by number and mask."""
+        self.number: dict[str, int] = {}
+        self.unit_hash, self.unit_length = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.known: dict[tuple[int, int], bytes] = {}
 
     def _tables(self) -> None:
         """For the agendas of many units at once: symbols are numbers, and a hash table has the rank of each pair that makes a piece."""
@@ -113,15 +129,15 @@ class Codec:
     def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return self.pair_ranks[self._slot(a, b)]
 
-    def _many(self, units: list[str], bases: list[int]) -> list[bytes | None]:
-        """encode_unit of many units of up to _SHORT characters, one candidate of each at a time; None for those with signs that have no number."""
+    def _many(self, units: list[str], bases: list[int], masks: list[int] | None = None) -> list[bytes | None]:
+        """encode_unit of many units of up to _SHORT characters, one candidate of each at a time; None for those with signs that have no number. With masks these say what is skipped."""
         n = np.array([len(u) for u in units])
         chars = self.of_char[np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)]
         width, rows = int(n.max()), np.repeat(np.arange(len(units)), n)
         sym = np.full((len(units), width + 1), self.symbols, np.int64)
         sym[rows, np.arange(len(chars)) - np.repeat(np.cumsum(n) - n, n)] = chars
         ranks = self._rank(sym[:, :-1].ravel(), sym[:, 1:].ravel()).reshape(len(units), width)
-        base, limit, step = np.array(bases, np.uint32), self.limit, 0
+        base, limit, step = np.array(bases, np.uint32) if masks is None else np.array(masks, np.uint64), self.limit, 0
         live, columns, done = np.arange(len(units)), np.arange(width), sym.copy()
         while True:
             best = ranks.argmin(axis=1)
@@ -132,7 +148,7 @@ class Codec:
             if not len(live):
                 break
             step += 1
-            skip = _hash_many(base, step, rank) < limit
+            skip = _hash_many(base, step, rank) < limit if masks is None else (base >> np.uint64(step - 1) & np.uint64(1)).astype(bool)
             ranks[skip, best[skip]] = _NONE
             rows = np.flatnonzero(~skip)
             at = best[rows]
@@ -156,22 +172,32 @@ class Codec:
         return [row[:m].tobytes() if ok else None for row, m, ok in zip(ids, lengths.tolist(), known.tolist(), strict=True)]
 
     def learn(self, units: set[str], variant: int) -> dict[str, bytes]:
-        """Encodings of units, kept for later if they aren't long."""
-        out, short = {}, sorted((u for u in units if len(u) <= _SHORT), key=len)
+        """Encodings of units in one drawing."""
+        some = list(units)
+        return dict(zip(some, self._encode_units(some, [self._base(u, variant) for u in some]), strict=True))
+
+    def _encode_units(self, units: list[str], bases: list[int], masks: list[int] | None = None) -> list[bytes]:
+        out: list[bytes] = [b""] * len(units)
+        short = sorted((k for k, u in enumerate(units) if len(u) <= _SHORT), key=lambda k: len(units[k]))
         for start in range(0, len(short), 4096):
             part = short[start : start + 4096]
-            for u, got in zip(part, self._many(part, [self._base(u, variant) for u in part]), strict=True):
-                out[u] = self.encode_unit(u, variant) if got is None else got
-        self.known[variant].update(out)
-        return out | {u: self.encode_unit(u, variant) for u in units if len(u) > _SHORT}
+            found = self._many([units[k] for k in part], [bases[k] for k in part] if masks is None else [], masks and [masks[k] for k in part])
+            for k, got in zip(part, found, strict=True):
+                out[k] = self._ids(units[k], *((bases[k], None) if masks is None else (0, masks[k]))) if got is None else got
+        for k, u in enumerate(units):
+            if len(u) > _SHORT:
+                out[k] = self._ids(u, bases[k])
+        return out
 
     def _base(self, unit: str, variant: int) -> int:
         return xxhash.xxh32_intdigest(unit, seed=self.seed * VARIANTS + variant & 0xFFFFFFFF) if self.limit else 0
 
     def encode_unit(self, unit: str, variant: int) -> bytes:
         """The ids as int32s."""
-        base = self._base(unit, variant)
-        symbols, _ = self._long(unit, base) if len(unit) > _SHORT else self._short(unit, base)
+        return self._ids(unit, self._base(unit, variant))
+
+    def _ids(self, unit: str, base: int, mask: int | None = None) -> bytes:
+        symbols, _ = self._long(unit, base) if len(unit) > _SHORT else self._short(unit, base, mask)
         ids = array("i")
         get = self.ids.get
         for s in symbols:
@@ -181,7 +207,7 @@ class Codec:
                 ids.extend([self.byte_ids[b] for b in s.encode()])
         return ids.tobytes()
 
-    def _short(self, unit: str, base: int) -> tuple[list[str], int]:
+    def _short(self, unit: str, base: int, mask: int | None = None) -> tuple[list[str], int]:
         """The agenda is a list with the rank of each pair; min and index find the best, the leftmost of equals."""
         get, skips, limit, skipped, step = self.ranks.get, _hash, self.limit, 0, 0
         sym = list(unit)
@@ -189,7 +215,7 @@ class Codec:
         while agenda and (best := min(agenda)) != _NONE:
             i = agenda.index(best)
             step += 1
-            if limit and skips(base, step, best) < limit:
+            if mask >> step - 1 & 1 if mask is not None else limit and skips(base, step, best) < limit:
                 agenda[i] = _NONE
                 skipped += 1
                 continue
@@ -228,19 +254,58 @@ class Codec:
                 heapq.heappush(agenda, (r, h, i, len(sym[h]) + len(sym[i])))
         return [s for s in sym if s], skipped
 
+    def _draw(self, at: np.ndarray, keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For occurrences of the units with the numbers at: 64 bits of each, and the mask of the candidates that it skips. A unit of n characters that skips k has n - 1 + k candidates at most."""
+        with np.errstate(over="ignore"):
+            base = _mix(_mix(keys + np.uint64(self.seed & 0xFFFFFFFF) * np.uint64(_SPREAD)) + places * np.uint64(_SPREAD) ^ self.unit_hash[at])
+            masks = np.zeros(len(at), np.uint64)
+            length = self.unit_length[at]
+            live = np.flatnonzero((length > 1) & (length <= _MASKED)) if self.limit else np.empty(0, np.int64)
+            left, own, bits, step = length[live] - 1, base[live], masks[live], 0
+            while len(live):
+                skip = _mix(own + np.uint64((step + 1) * _SPREAD & (1 << 64) - 1)) >> np.uint64(32) < np.uint64(self.limit)
+                bits |= skip.astype(np.uint64) << np.uint64(step)
+                left = left - ~skip
+                step += 1
+                on = (left > 0) & (step < 64)
+                if not on.all():
+                    masks[live[~on]] = bits[~on]
+                    live, left, own, bits = live[on], left[on], own[on], bits[on]
+        return base, masks
+
     def encode_batch(self, texts: list[str], keys: list[int]) -> list[np.ndarray]:
         """ids of each text; its key varies what is skipped."""
-        if sum(map(len, self.known)) > CACHE_ENTRIES:
-            for own in self.known:
-                own.clear()
+        if len(self.known) + len(self.number) > CACHE_ENTRIES:
+            self._forget()
         lists = [self.units(f" {x}") if x else [] for x in texts]
-        for v in range(VARIANTS):  # every fourth unit of a text has the variant, from a place that depends on the key
-            own, places = self.known[v], [slice((v - k) % VARIANTS, None, VARIANTS) for k in keys]
-            parts = [u[at] for u, at in zip(lists, places, strict=True)]
-            new = self.learn(set().union(*parts).difference(own), v)
-            for u, at, part in zip(lists, places, parts, strict=True):
-                u[at] = [own[x] if x in own else new[x] for x in part] if new else map(own.__getitem__, part)
-        return [np.frombuffer(b"".join(u), np.int32) for u in lists]
+        flat = [u for units in lists for u in units]
+        number = self.number
+        if new := sorted(set(flat).difference(number)):
+            number.update(zip(new, range(len(number), len(number) + len(new)), strict=True))
+            self.unit_hash = np.append(self.unit_hash, np.array([xxhash.xxh64_intdigest(u) for u in new], np.uint64))
+            self.unit_length = np.append(self.unit_length, np.array([len(u) for u in new], np.int64))
+        n = np.array([len(units) for units in lists], np.int64)
+        ends = np.cumsum(n)
+        at = np.array([number[u] for u in flat], np.int64)
+        places = (np.arange(len(flat)) - np.repeat(ends - n, n)).astype(np.uint64)
+        base, masks = self._draw(at, np.repeat(np.array([k & (1 << 64) - 1 for k in keys], np.uint64), n), places)
+        codes = list(zip(at.tolist(), masks.tolist(), strict=True))
+        known = self.known
+        if self.limit:
+            far = np.flatnonzero(self.unit_length[at] > _MASKED).tolist()  # too many candidates for a mask: each on its own, in this batch only
+            for k in far:
+                codes[k] = (-1, k)
+            own = dict(zip([codes[k] for k in far], self._encode_units([flat[k] for k in far], [int(base[k]) & 0xFFFFFFFF for k in far]), strict=True))
+        else:
+            own = {}
+        where = {c: k for k, c in enumerate(codes) if c not in known and c[0] >= 0}
+        units = [flat[k] for k in where.values()]
+        if self.limit:
+            known.update(zip(where, self._encode_units(units, [], [c[1] for c in where]), strict=True))
+        else:
+            known.update(zip(where, self._encode_units(units, [0] * len(units)), strict=True))
+        parts = [known[c] if c[0] >= 0 else own[c] for c in codes] if own else list(map(known.__getitem__, codes))
+        return [np.frombuffer(b"".join(parts[e - m : e]), np.int32) for e, m in zip(ends.tolist(), n.tolist(), strict=True)]
 
     def encode(self, text: str, key: int = 0) -> np.ndarray:
         return self.encode_batch([text], [key])[0]

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import public_tokenizers
 import pytest
@@ -43,6 +44,34 @@ def test_dropout_varies_by_seed_and_document_and_is_repeatable():
     assert 0.17 < skipped / (merged + skipped) < 0.23
 
 
+def test_every_occurrence_is_drawn_anew():
+    """Not one of a few for the whole corpus: segmentations come up as often as with coins of a generator."""
+    own, rng = sc.Codec(PATH, 0.1), random.Random(8)
+    for word in ("the", "understanding", "encyclopaedia"):
+        coins = [sum((rng.random() < 0.1) << i for i in range(64)) for _ in range(2000)]
+        want = Counter(own._ids(f" {word}", 0, m) for m in coins)
+        text = " ".join([word] * 2000)
+        units = [own.encode(word, k).tobytes() for k in range(2000)]
+        for got in (Counter(units), Counter(map(bytes, own_units(own, text, 7)))):
+            assert all(abs(got[x] - want[x]) < 100 for x in want | got), word
+            assert len(got) > (4 if len(word) > 5 else 1), word
+        assert list(own.encode(text, 7)) == list(sc.Codec(PATH, 0.1).encode(text, 7))
+
+
+def own_units(own, text, key):
+    """The ids of each unit of a text of units that begin with a space."""
+    ids = own.encode(text, key)
+    cuts = [i for i, x in enumerate(ids) if own.bytes_of[x].startswith(b" ")]
+    return [ids[a:b].tobytes() for a, b in zip(cuts, [*cuts[1:], None], strict=True)]
+
+
+def test_masks_as_one_by_one():
+    own, rng = sc.Codec(PATH, 0.1), random.Random(3)
+    units = [u for x in texts() for u in own.units(f" {x}") if len(u) <= sc._MASKED]
+    masks = [rng.getrandbits(64) & rng.getrandbits(64) & rng.getrandbits(64) for _ in units]
+    assert own._encode_units(units, [], masks) == [own._ids(u, 0, m) for u, m in zip(units, masks, strict=True)]
+
+
 def test_long_and_short_agendas_agree():
     own = sc.Codec(PATH, 0.15)
     for x in texts():
