@@ -1,43 +1,63 @@
 """A gated recurrent language model in numpy with a class-factored softmax.
 
+A unit has a gate z and a new part n, both of the word before and the state: h' = z h + (1 - z) n (a gated recurrent unit without reset gate).
 A word's log-probability is that of its class plus that of the word in the class, each a softmax over the state after the words before it.
-Words are numbered by falling frequency, and a class holds WORDS of them in a row. Documents are dealt to lanes that run side by side, each lane one document after
-another; a lane's state is carried from window to window and set back to zero where a document begins, so that a text of any length is scored, and learned from, as a whole.
+Words are numbered by falling frequency, and a class holds about as many in a row as there are classes. For scoring, documents are dealt to lanes that run side by side, each lane one document after
+another; a lane's state is carried from window to window and set back to zero where a document begins, so that a text of any length is scored as a whole.
+
+Training goes through the documents one after another, cut into lanes of one length, so that no lane waits for a long text. A window's step is back-propagated to the window's begin and
+changes the rows of words that stand in it and the classes of words that follow, nothing else of the two large tables.
 """
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 
-HIDDEN, WORDS, WINDOW, LANES = 24, 32, 64, 256
+HIDDEN, WINDOW, LANES = 32, 64, 256
+#: Of training: steps of a window, and for so many windows there are lanes, 16 to 256.
+STEPS, WINDOWS, DECAY = 16, 200, 0.98
 Params = dict[str, np.ndarray]
 
 
+def class_size(words: int) -> int:
+    """A power of two near the square root."""
+    return 1 << max(3, round(np.log2(max(words, 1)) / 2))
+
+
 def init(counts: np.ndarray, hidden: int = HIDDEN, seed: int = 42) -> Params:
     """Weights that give every word its share of the counts, whatever went before."""
     rng = np.random.default_rng(seed)
-    classes = -(-len(counts) // WORDS)
-    share = np.zeros(classes * WORDS)
+    size = class_size(len(counts))
+    classes = -(-len(counts) // size)
+    share = np.zeros(classes * size)
     share[: len(counts)] = (counts + 0.1) / (counts + 0.1).sum()
-    share = share.reshape(classes, WORDS)
+    share = share.reshape(classes, size)
     total = share.sum(axis=1)
     with np.errstate(divide="ignore"):
         within = np.where(share > 0, np.log(share / total[:, None]), -1e4)
     normal = lambda scale, *shape: rng.normal(0, scale, shape).astype(np.float32)
     return {
-        "x": normal(0.3, classes * WORDS, 3 * hidden), "u": normal(hidden**-0.5, hidden, 3 * hidden), "xb": np.zeros(3 * hidden, np.float32),
+        "x": normal(0.3, classes * size, 2 * hidden), "u": normal(hidden**-0.5, hidden, 2 * hidden), "xb": np.zeros(2 * hidden, np.float32),
         "c": np.zeros((hidden, classes), np.float32), "cb": np.log(total).astype(np.float32),
-        "w": np.zeros((classes, hidden, WORDS), np.float32), "wb": within.astype(np.float32),
+        "w": np.zeros((classes, hidden, size), np.float32), "wb": within.astype(np.float32),
     }
 
 
-def _gates(p: Params, word: np.ndarray, h: np.ndarray) -> tuple:
+def _step(u, a, h):
+    """a: what the word before says. The gate, the new part, and the state after: the gate's share of the old state and the rest of the new part."""
     n = h.shape[1]
-    a, b = p["x"][word] + p["xb"], h @ p["u"]
-    gate = np.tanh((a[:, : 2 * n] + b[:, : 2 * n]) * np.float32(0.5)) * np.float32(0.5) + np.float32(0.5)
-    z, r = gate[:, :n], gate[:, n:]
-    new = np.tanh(a[:, 2 * n :] + r * b[:, 2 * n :])
-    return z, r, new, b[:, 2 * n :], new + z * (h - new)
+    b = h @ u
+    b += a
+    np.tanh(b, out=b)
+    z, new = b[:, :n], b[:, n:]
+    z *= 0.5
+    z += 0.5
+    out = h - new
+    out *= z
+    out += new
+    return z, new, out
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -45,11 +65,24 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
-def _by_class(word: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    cls = word // WORDS
+def _soft(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shares (in x's place) and the log-share at one place of each row."""
+    x -= x.max(axis=1, keepdims=True)
+    own = x[np.arange(len(at)), at].astype(np.float64)
+    np.exp(x, out=x)
+    sums = x @ np.ones(x.shape[1], x.dtype)
+    x *= (1 / sums)[:, None]
+    return x, own - np.log(sums)
+
+
+def _by_class(word: np.ndarray, size: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order by class, and class, begin, end in it."""
+    cls = word // size
     order = np.argsort(cls, kind="stable")
-    cuts = np.flatnonzero(np.diff(cls[order])) + 1
-    return [(int(cls[rows[0]]), rows) for rows in np.split(order, cuts) if len(rows)]
+    cls = cls[order]
+    cuts = np.flatnonzero(np.diff(cls)) + 1
+    begins = [0, *cuts.tolist()] if len(word) else []
+    return order, [(int(cls[a]), a, b) for a, b in zip(begins, [*begins[1:], len(word)], strict=True)]
 
 
 def _log_share(x: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -57,27 +90,27 @@ def _log_share(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     own = x[np.arange(len(at)), at].astype(np.float64)
     top = x.max()
     x -= top
-    sums = np.exp(x) @ np.ones(x.shape[1], np.float32)
-    if sums.min() < 1e-25:
-        rows = np.flatnonzero(sums < 1e-25)
-        own[rows] = _log_softmax(x[rows])[np.arange(len(rows)), at[rows]]
-        sums[rows] = 1
-        own[rows] += top
-    return own - top - np.log(sums)
+    low = x.max(axis=1) < -50
+    if low.any():
+        x[low] = _log_softmax(x[low])
+        own[low] = x[low, at[low]] + top
+    return own - top - np.log(np.exp(x, out=x) @ np.ones(x.shape[1], x.dtype))
 
 
 def word_log_probs(p: Params, h: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Natural log-probability of each word after the state in the same row."""
-    out = _log_share(h @ p["c"] + p["cb"], word // WORDS)
-    for c, rows in _by_class(word):
-        out[rows] += _log_share(h[rows] @ p["w"][c] + p["wb"][c], word[rows] % WORDS)
+    size = p["wb"].shape[1]
+    out = _log_share(h @ p["c"] + p["cb"], word // size)
+    order, parts = _by_class(word, size)
+    hs, ws, more = h[order], word[order] % size, np.empty(len(word))
+    for c, a, b in parts:
+        more[a:b] = _log_share(hs[a:b] @ p["w"][c] + p["wb"][c], ws[a:b])
+    out[order] += more
     return out
 
 
 def lanes_of(lengths: np.ndarray, lanes: int) -> list[list[int]]:
     """Documents dealt to lanes of about equal length, the longest lane first."""
-    import heapq
-
     loads = [(0, i) for i in range(max(1, min(lanes, len(lengths))))]
     out: list[list[int]] = [[] for _ in loads]
     for d in np.argsort(-lengths, kind="stable").tolist():
@@ -108,85 +141,112 @@ def log_likelihoods(p: Params, docs: list[np.ndarray], end: int) -> np.ndarray:
     if not docs:
         return out
     before, word, owner, steps = _streams(docs, end, LANES)
-    hidden = p["u"].shape[0]
-    h = np.zeros((word.shape[1], hidden), np.float32)
+    h = np.zeros((word.shape[1], p["u"].shape[0]), np.float32)
+    x = p["x"] + p["xb"]
     live = (steps > np.arange(len(word))[:, None]).sum(axis=1)
     for start in range(0, len(word), WINDOW):
         rows = slice(start, min(start + WINDOW, len(word)))
-        states, m = [], live[rows]
-        for t, n in zip(range(rows.start, rows.stop), m, strict=True):
-            h = h[:n] * (before[t, :n] != end)[:, None]
-            h = _gates(p, before[t, :n], h)[-1]
+        states, m = [], live[rows].tolist()
+        on = before[rows] != end
+        for t, n in enumerate(m):
+            h = h[:n] * on[t, :n, None]
+            h = _step(p["u"], x[before[rows.start + t, :n]], h)[-1]
             states.append(h)
-        valid = np.arange(word.shape[1]) < m[:, None]
+        valid = np.arange(word.shape[1]) < live[rows][:, None]
         ll = word_log_probs(p, np.concatenate(states), word[rows][valid])
         out += np.bincount(owner[rows][valid], ll, len(docs))
     return out
 
 
-def gradients(p: Params, before: np.ndarray, word: np.ndarray, live: np.ndarray, h: np.ndarray, end: int) -> tuple[Params, np.ndarray, float]:
-    """Of the mean log-loss over a window (steps x lanes; live: which words count), back-propagated to the window's begin. Also the state after it and the loss."""
-    hidden, g = p["u"].shape[0], {k: np.zeros_like(v) for k, v in p.items()}
-    tape, states = [], []
-    for t in range(len(word)):
-        h = h * (before[t] != end)[:, None]
-        z, r, new, hu, out = _gates(p, before[t], h)
-        tape.append((h, z, r, new, hu))
-        states.append(out)
-        h = out
-    hs, ys = np.concatenate(states), word.ravel()
-    weight = (live.ravel() / max(1, live.sum())).astype(np.float32)[:, None]
-    cl = _log_softmax(hs @ p["c"] + p["cb"])
-    cls = ys // WORDS
-    loss = -cl[np.arange(len(ys)), cls].astype(np.float64)
-    d = np.exp(cl)
-    d[np.arange(len(ys)), cls] -= 1
-    d *= weight
-    g["c"], g["cb"], dh_all = hs.T @ d, d.sum(axis=0), d @ p["c"].T
-    for c, rows in _by_class(ys):
-        wl, k = _log_softmax(hs[rows] @ p["w"][c] + p["wb"][c]), np.arange(len(rows))
-        loss[rows] -= wl[k, ys[rows] % WORDS]
-        d = np.exp(wl)
-        d[k, ys[rows] % WORDS] -= 1
-        d *= weight[rows]
-        g["w"][c], g["wb"][c] = hs[rows].T @ d, d.sum(axis=0)
-        dh_all[rows] += d @ p["w"][c].T
-    dh_all = dh_all.reshape(len(word), -1, hidden)
-    dh, dx = np.zeros_like(h), []
-    for t in range(len(word) - 1, -1, -1):
-        prev, z, r, new, hu = tape[t]
-        dh = dh + dh_all[t]
-        dnew = dh * (1 - z) * (1 - new * new)
-        dz, dr = dh * (prev - new) * z * (1 - z), dnew * hu * r * (1 - r)
-        du = np.concatenate([dz, dr, dnew * r], axis=1)
-        g["u"] += prev.T @ du
-        dx.append(np.concatenate([dz, dr, dnew], axis=1))
-        dh = (dh * z + du @ p["u"].T) * (before[t] != end)[:, None]
-    dx = np.concatenate(dx[::-1])
-    g["xb"] = dx.sum(axis=0)
-    np.add.at(g["x"], before.ravel(), dx)
-    return g, h, float((loss * weight[:, 0]).sum())
-
-
-def train(p: Params, docs: list[np.ndarray], end: int, lanes: int = 16, window: int = 16, rate: float = 0.01) -> Params:
-    """One pass of Adam over the documents, a step for each window; the rate falls to a tenth."""
+def gradients(p: Params, before: np.ndarray, word: np.ndarray, live: np.ndarray, h: np.ndarray, end: int) -> tuple[Params, dict[str, np.ndarray], np.ndarray, float]:
+    """Of the mean log-loss over a window (steps x lanes; live: which words count), back-propagated to the window's begin; which rows of x, w and wb
+    they are of (the others have none), the state after the window, and the loss."""
+    steps, lanes = word.shape
+    hidden, size = p["u"].shape[0], p["wb"].shape[1]
+    kind = p["u"].dtype
+    a = p["x"][before] + p["xb"]
+    on = (before != end).astype(kind)[:, :, None]
+    was, out = np.empty((steps, lanes, hidden), kind), np.empty((steps, lanes, hidden), kind)
+    gates, news = np.empty_like(out), np.empty_like(out)
+    for t in range(steps):
+        np.multiply(h, on[t], out=was[t])
+        gates[t], news[t], h = _step(p["u"], a[t], was[t])
+        out[t] = h
+    rows = np.flatnonzero(live.ravel())
+    ys = word.ravel()[rows]
+    order, parts = _by_class(ys, size)
+    rows, ys = rows[order], ys[order]
+    hs = out.reshape(-1, hidden)[rows]
+    scale = kind.type(1 / max(1, len(rows)))
+    g = {}
+    d, ll = _soft(hs @ p["c"] + p["cb"], ys // size)
+    d[np.arange(len(ys)), ys // size] -= 1
+    d *= scale
+    g["c"], g["cb"], dh = hs.T @ d, d.sum(axis=0), d @ p["c"].T
+    g["w"], g["wb"] = np.empty((len(parts), hidden, size), kind), np.empty((len(parts), size), kind)
+    within = ys % size
+    for k, (c, i, j) in enumerate(parts):
+        d, l2 = _soft(hs[i:j] @ p["w"][c] + p["wb"][c], within[i:j])
+        d[np.arange(j - i), within[i:j]] -= 1
+        d *= scale
+        ll[i:j] += l2
+        np.matmul(hs[i:j].T, d, out=g["w"][k])
+        d.sum(axis=0, out=g["wb"][k])
+        dh[i:j] += d @ p["w"][c].T
+    all_dh = np.zeros((steps * lanes, hidden), kind)
+    all_dh[rows] = dh
+    all_dh = all_dh.reshape(steps, lanes, hidden)
+    z = gates
+    f = np.concatenate([(was - news) * (2 * z * (1 - z)), (1 - z) * (1 - news * news)], axis=2).reshape(steps, lanes, 2, hidden)
+    keep = z * on
+    dx = np.empty((steps, lanes, 2, hidden), kind)
+    back, ut = np.zeros((lanes, hidden), kind), np.ascontiguousarray(p["u"].T)
+    for t in range(steps - 1, -1, -1):
+        back += all_dh[t]
+        np.multiply(f[t], back[:, None], out=dx[t])
+        back *= keep[t]
+        more = dx[t].reshape(lanes, -1) @ ut
+        more *= on[t]
+        back += more
+    flat = dx.reshape(-1, 2 * hidden)
+    g["u"] = was.reshape(-1, hidden).T @ flat
+    g["xb"] = flat.sum(axis=0)
+    seen = before.ravel()
+    by = np.argsort(seen, kind="stable")
+    starts = np.concatenate([[0], np.flatnonzero(np.diff(seen[by])) + 1])
+    g["x"] = np.add.reduceat(flat[by], starts, axis=0)
+    return g, {"x": seen[by][starts], "w": np.array([c for c, _, _ in parts]), "wb": np.array([c for c, _, _ in parts])}, h, -float(ll.mean()) if len(ll) else 0.0
+
+
+def train(p: Params, docs: list[np.ndarray], end: int, window: int = STEPS, rate: float = 0.05) -> Params:
+    """One pass over the documents, a step for each window: gradients over the root of their running mean square; the rate falls to a tenth."""
     if not docs:
         return p
     p = {k: v.copy() for k, v in p.items()}
-    m, s = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
-    before, word, _, steps = _streams(docs, end, lanes)
-    h, n = np.zeros((word.shape[1], p["u"].shape[0]), np.float32), -(-len(word) // window)
+    s = {k: np.zeros_like(v) for k, v in p.items()}
+    flat = np.concatenate(docs)
+    long = -(-len(flat) // max(16, min(256, len(flat) // (window * WINDOWS))))
+    count = -(-len(flat) // long)
+    grid = lambda x: np.concatenate([x, np.full(count * long - len(flat), end, x.dtype)]).reshape(count, long).T
+    word, before = grid(flat), grid(np.concatenate([np.array([end], flat.dtype), flat[:-1]]))
+    counts = (np.arange(count * long) < len(flat)).reshape(count, long).T
+    h, n = np.zeros((count, p["u"].shape[0]), np.float32), -(-long // window)
     for i in range(n):
-        rows = slice(i * window, min((i + 1) * window, len(word)))
-        live = np.arange(rows.start, rows.stop)[:, None] < steps
-        g, h, _ = gradients(p, before[rows], word[rows], live, h, end)
-        norm = np.sqrt(sum(float((x * x).sum()) for x in g.values()))
-        clip, own = min(1.0, 1 / max(norm, 1e-9)), rate * (1 - 0.9 * i / n)
+        rows = slice(i * window, min((i + 1) * window, long))
+        g, at, h, _ = gradients(p, before[rows], word[rows], counts[rows], h, end)
+        own = np.float32(rate * (1 - 0.9 * i / n))
         for k, x in g.items():
-            x *= np.float32(clip)
-            m[k] += np.float32(0.1) * (x - m[k])
-            s[k] += np.float32(0.01) * (x * x - s[k])
-            p[k] -= np.float32(own / (1 - 0.9 ** (i + 1))) * m[k] / (np.sqrt(s[k] / np.float32(1 - 0.99 ** (i + 1))) + np.float32(1e-6))
+            rows_of = at.get(k, slice(None))
+            mean = s[k][rows_of] * np.float32(DECAY)
+            mean += x * x * np.float32(1 - DECAY)
+            s[k][rows_of] = mean
+            if k not in at:
+                mean = mean / np.float32(1 - DECAY ** (i + 1))
+            root = np.sqrt(mean, out=mean)
+            root += np.float32(1e-6)
+            x *= own
+            x /= root
+            p[k][rows_of] -= x
     return p
 
 

@@ -1,9 +1,9 @@
 """Scores documents with a gated recurrent language model that is learned from the corpus.
 
 1. Words of all texts are counted (a text's end is a word too), those of training documents apart. A document is held out if the CRC-32 of its id modulo FOLDS is 0.
-2. The most frequent VOCABULARY words, the end and one word for all others are the model's words. Its output begins as their relative frequencies. In each
-   of ROUNDS rounds every task trains a copy by truncated backpropagation on the training documents that a hash of their id puts in the round (of
-   all, unless a smaller share than SHARE is asked for), so that each is learned from once, and the copies are averaged, weighted by their words; sums are formed in two steps, so that no task gets all copies.
+2. The most frequent words, the end and one word for all others are the model's words; how many grows with the cube root of the training words (grown()). Its output begins as their relative frequencies. In each
+   of ROUNDS rounds every task trains a copy by truncated backpropagation on the training documents that a hash of their id puts in the round, so that each
+   is learned from once, and the copies are averaged, weighted by their words; sums are formed in two steps, so that no task gets all copies.
 3. Every text is scored as a whole. A word outside the model's has the probability of "other" times its smoothed share of the other words' counts,
    (c + 0.1) / (M + 0.1 (U + 1)) with M the count of all other words and U of how many, so that the probabilities of all texts add up to one.
 
@@ -18,6 +18,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +28,19 @@ from pyspark.sql import functions as F
 from corpusloom.llm import gru
 from corpusloom.llm.common import cut, small_arrow_batches
 
-FOLDS, HOT, VOCABULARY, ROUNDS, SHARE, ALPHA = 10, 131_072, 2046, 2, 1.0, 0.1
+FOLDS, HOT, ROUNDS, RATE, ALPHA = 10, 131_072, 2, 0.05, 0.1
+#: Words of the model: FACTOR times the cube root of the training words, as a power of two within these bounds.
+FACTOR, FEWEST, MOST = 26, 256, 8192
 #: The end of a text among the words, which hold no white space.
 END = "\n"
 FLUSH, TOKENS, CHUNK = 400_000, 2_000_000, 8192
 
 
+def grown(train_tokens: int) -> int:
+    """How many words the model has, but for the end and the word for all others."""
+    return max(FEWEST, min(MOST, 1 << round(np.log2(FACTOR * max(train_tokens, 1) ** (1 / 3))))) - 2
+
+
 def tokens_of(text: bytes) -> list[bytes]:
     """Lower-cased (A-Z) words between ASCII white space."""
     return text.lower().split()
@@ -97,9 +105,8 @@ class Vocabulary:
         return np.array([*[get(w, other) for w in words], self.end], np.int32)
 
 
-def train_round(docs: DataFrame, model, k: int, rounds: int, share: float) -> np.ndarray:
+def train_round(docs: DataFrame, model, k: int, rounds: int) -> np.ndarray:
     """The averaged weights after one pass over the documents of round k. model: broadcast (vocabulary, weights)."""
-    slots = 1 << 20
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, flat, like = model.value
@@ -111,42 +118,63 @@ def train_round(docs: DataFrame, model, k: int, rounds: int, share: float) -> np
                 mine.append(vocabulary.encode(tokens_of(text)))
                 n += len(mine[-1])
                 if n > TOKENS:
-                    p, weight, n, mine = gru.train(p, mine, vocabulary.end, rate=0.01 / (k + 1)), weight + n, 0, []
-        p, weight = gru.train(p, mine, vocabulary.end, rate=0.01 / (k + 1)), weight + n
+                    p, weight, n, mine = gru.train(p, mine, vocabulary.end, rate=RATE / (k + 1)), weight + n, 0, []
+        p, weight = gru.train(p, mine, vocabulary.end, rate=RATE / (k + 1)), weight + n
         if weight:
             values = gru.pack(p)
             cuts = [values[i : i + CHUNK].tobytes() for i in range(0, len(values), CHUNK)]
             yield pa.RecordBatch.from_arrays([pa.array([part] * len(cuts), pa.int64()), pa.array(range(len(cuts)), pa.int32()), pa.array([float(weight)] * len(cuts)), pa.array(cuts, pa.binary())], ["part", "chunk", "weight", "values"])
 
-    slot = F.pmod(F.xxhash64(F.lit("round"), "_id"), F.lit(slots))
-    lower, upper = int(slots * share * k / rounds), int(slots * share * (k + 1) / rounds)
-    own = docs.filter(~F.col("_held") & (slot >= lower) & (slot < upper)).select(F.spark_partition_id().cast("long").alias("_part"), "_text")
+    own = docs.filter(~F.col("_held") & (F.pmod(F.xxhash64(F.lit("round"), "_id"), F.lit(rounds)) == k)).select(F.spark_partition_id().cast("long").alias("_part"), "_text")
     rows = _average(own.mapInArrow(run, "part long, chunk int, weight double, values binary")).collect()  # one set of weights
     return np.concatenate([np.frombuffer(r["values"], np.float32) for r in sorted(rows, key=lambda r: r.chunk)]) if rows else model.value[1]
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary_size: int = VOCABULARY, rounds: int = ROUNDS, share: float = SHARE, hot: int = HOT) -> DataFrame:
-    """id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 of the model's probability of the text)."""
-    spark = docs.sparkSession
-    small_arrow_batches(spark)
-    id_type = docs.select(F.col(id_col)).schema[0].dataType.simpleString()
+@dataclass
+class Model:
+    """What is learned from the corpus: counts of all words, sums of them, and the network's words and weights."""
+
+    counts: DataFrame
+    total: int
+    distinct: int
+    ends: int
+    hot: dict[bytes, int]
+    vocabulary: Vocabulary
+    flat: np.ndarray
+    like: gru.Params
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("_row_id"), key.alias("_id"), (F.crc32(key.cast("binary")) % FOLDS == 0).alias("_held"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    return docs.select(F.col(id_col).alias("_row_id"), key.alias("_id"), (F.crc32(key.cast("binary")) % FOLDS == 0).alias("_held"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
 
+
+def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary_size: int | None = None, rounds: int = ROUNDS, hot: int = HOT) -> Model:
+    """Counts of all words, and a network that has gone through every training document once."""
+    spark = docs.sparkSession
+    small_arrow_batches(spark)
+    rows = _rows(docs, id_col, text_col)
     counts = cut(count_words(rows))
     total, distinct, ends = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0), F.coalesce(F.sum(F.when(F.col("word") == END, F.col("c"))), F.lit(0))).first()
-    top = cut(counts.orderBy(F.desc("t"), "word").limit(hot))
-    known = top.toArrow().to_pydict()  # at most `hot` words
+    known = cut(counts.orderBy(F.desc("t"), "word").limit(hot)).toArrow().to_pydict()  # at most `hot` words
     hot_words = dict(zip([w.encode() for w in known["word"]], known["c"], strict=True))
-    frequent = sorted(((n, w) for w, n in hot_words.items() if n and w != END.encode()), key=lambda x: (-x[0], x[1]))[:vocabulary_size]
+    frequent = sorted(((n, w) for w, n in hot_words.items() if n and w != END.encode()), key=lambda x: (-x[0], x[1]))[: vocabulary_size or grown(total)]
     vocabulary = Vocabulary([w.decode() for _, w in frequent], np.array([n for n, _ in frequent], np.float64), total, ends)
-
     like = gru.init(vocabulary.counts)
     flat = gru.pack(like)
     for k in range(rounds):
-        sent = spark.sparkContext.broadcast((vocabulary, flat, like))
-        flat = train_round(rows, sent, k, rounds, share)
-    model = spark.sparkContext.broadcast((vocabulary, flat, like, hot_words))
+        flat = train_round(rows, spark.sparkContext.broadcast((vocabulary, flat, like)), k, rounds)
+    return Model(counts, total, distinct, ends, hot_words, vocabulary, flat, like)
+
+
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", learned: Model | None = None, **how) -> DataFrame:
+    """id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 of the model's probability of the text). The model is learned from docs, if none is given."""
+    spark = docs.sparkSession
+    learned = learned or learn(docs, id_col, text_col, **how)
+    counts, total, distinct, ends, vocabulary = learned.counts, learned.total, learned.distinct, learned.ends, learned.vocabulary
+    id_type = docs.select(F.col(id_col)).schema[0].dataType.simpleString()
+    rows = _rows(docs, id_col, text_col)
+    model = spark.sparkContext.broadcast((vocabulary, learned.flat, learned.like, learned.hot))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, flat, like, counts = model.value

@@ -35,7 +35,7 @@ def brute(rows):
 def test_counts_base_and_held_out_accuracy(spark, hot):
     rows = [*prose(), (900, None), (901, ""), (901, ""), (None, "w1 w2"), (902, "É é   x"), (903, "only words never seen " * 30)]
     df = spark.createDataFrame([(*r, 5) for r in rows], "doc_id long, text string, score long").repartition(3)
-    got = lm_scoring.score(df, vocabulary_size=40, share=1.0, hot=hot).collect()
+    got = lm_scoring.score(df, vocabulary_size=40, hot=hot).collect()
     order = lambda r: (r[0] is None, r[0] or 0, r[2])
     assert [r[:5] for r in sorted((tuple(r) for r in got), key=order)] == [r[:5] for r in sorted(brute(rows), key=order)]
     want = {r[0]: r[5] for r in brute(rows)}
@@ -68,20 +68,74 @@ def test_empty_table_and_no_training_documents(spark):
     assert (r.n_tokens, r.n_known, r.train_tokens) == (3, 0, 0) and math.isfinite(r.score) and math.isfinite(r.base_score)
 
 
+def plain_score(model, text):
+    """Word by word, in double precision, with the weights that were learned."""
+    p = {k: v.astype(float) for k, v in gru.unpack(model.flat, model.like).items()}
+    v, size, n = model.vocabulary, p["wb"].shape[1], p["u"].shape[0]
+    counts = {r.word.encode(): r.c for r in model.counts.collect()}
+    rare = [c for w, c in counts.items() if w not in v.number and w != b"\n"]
+    mass, u = sum(rare), sum(c > 0 for c in rare)
+    soft = lambda x: x - x.max() - math.log(np.exp(x - x.max()).sum())
+    h, before, out = np.zeros(n), v.end, 0.0
+    for w in (text or "").encode().lower().split() + [b"\n"]:
+        k = v.end if w == b"\n" else v.number.get(w, v.other)
+        a = p["x"][before] + p["xb"] + h @ p["u"]
+        z, new = 0.5 + 0.5 * np.tanh(a[:n]), np.tanh(a[n:])
+        h = z * h + (1 - z) * new
+        out += soft(h @ p["c"] + p["cb"])[k // size] + soft(h @ p["w"][k // size] + p["wb"][k // size])[k % size]
+        if k == v.other:
+            out += math.log((counts.get(w, 0) + 0.1) / (mass + 0.1 * (u + 1)))
+        before = k
+    return out / math.log(10)
+
+
+@pytest.mark.parametrize("hot", [20, 1000])
+def test_scores_are_those_of_the_learned_weights(spark, hot):
+    rows = [*prose(60), (900, None), (901, ""), (902, "never seen words É"), (903, "w1 w2 rare3 " * 3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    model = lm_scoring.learn(df, vocabulary_size=30, hot=hot)
+    got = {r.doc_id: r.score for r in lm_scoring.score(df, learned=model).collect()}
+    for i, text in rows:
+        want = plain_score(model, text)
+        assert abs(got[i] - want) < 1e-4 * max(1, abs(want)), i
+
+
+def test_every_document_has_influence():
+    """Training without any one of the documents, or with one word of it changed, gives other weights."""
+    rng = np.random.default_rng(2)
+    docs = [np.append(rng.integers(0, 60, n), 63).astype(np.int32) for n in (1, 40, 5, 900, 64, 63, 200, 0, 7)]
+    p = gru.init(np.arange(64.0, 0, -1), hidden=4)
+    all_of_them = gru.pack(gru.train(p, docs, 63))
+    for i, d in enumerate(docs):
+        assert not np.array_equal(all_of_them, gru.pack(gru.train(p, docs[:i] + docs[i + 1 :], 63))), i
+        if len(d) > 1:
+            other = d.copy()
+            other[len(d) // 2] = (other[len(d) // 2] + 1) % 60
+            assert not np.array_equal(all_of_them, gru.pack(gru.train(p, [*docs[:i], other, *docs[i + 1 :]], 63))), i
+
+
+def test_the_vocabulary_grows_with_the_corpus():
+    sizes = [lm_scoring.grown(n) for n in (0, 10**5, 4 * 10**6, 10**8, 10**12)]
+    assert sizes == [254, 1022, 4094, 8190, 8190]
+
+
 def test_gradients_are_those_of_the_loss():
     rng = np.random.default_rng(0)
     p = {k: v.astype(np.float64) + rng.normal(0, 0.2, v.shape) for k, v in gru.init(np.arange(70.0, 0, -1), hidden=3).items()}
     p["wb"] = np.maximum(p["wb"], -5)
     word = rng.integers(0, 70, (6, 4))
     before, live, h = np.vstack([word[:1] * 0, word[:-1]]), rng.random((6, 4)) < 0.8, rng.normal(0, 1, (4, 3))
-    g, _, _ = gru.gradients(p, before, word, live, h, 5)
+    some, where, _, _ = gru.gradients(p, before, word, live, h, 5)
+    g = {k: np.zeros_like(v) for k, v in p.items()}
+    for k, x in some.items():
+        g[k][where.get(k, slice(None))] = x
     for k in p:
         for at in [tuple(rng.integers(0, n) for n in p[k].shape) for _ in range(6)] + ([(int(before[1, 0]), 2)] if k == "x" else []):
             old, e = p[k][at], 1e-4
             p[k][at] = old + e
-            up = gru.gradients(p, before, word, live, h, 5)[2]
+            up = gru.gradients(p, before, word, live, h, 5)[3]
             p[k][at] = old - e
-            down = gru.gradients(p, before, word, live, h, 5)[2]
+            down = gru.gradients(p, before, word, live, h, 5)[3]
             p[k][at] = old
             assert abs((up - down) / (2 * e) - g[k][at]) < 1e-5, (k, at)
 
@@ -94,7 +148,7 @@ def test_state_is_carried_over_windows_and_probabilities_add_up():
     for d, ll in zip(docs, got, strict=True):
         h, before, want = np.zeros((1, gru.HIDDEN), np.float32), 63, 0.0
         for w in d:
-            h = gru._gates(p, np.array([before]), h)[-1]
+            h = gru._step(p["u"], p["x"][[before]] + p["xb"], h)[-1]
             want += gru.word_log_probs(p, h, np.array([w]))[0]
             before = w
         assert abs(ll - want) < 1e-3 * max(1, abs(want))
