@@ -22,18 +22,18 @@ Params = dict[str, np.ndarray]
 
 
 def class_size(words: int) -> int:
-    """A power of two near the square root."""
-    return 1 << max(3, round(np.log2(max(words, 1)) / 2))
+    """Words of a class, a power of two: somewhat more than the square root, as the word for all others needs no share within its class."""
+    return 1 << max(3, round(np.log2(max(words, 1) / 0.6) / 2))
 
 
-def init(counts: np.ndarray, hidden: int = HIDDEN, seed: int = 42) -> Params:
-    """Weights that give every word its share of the counts, whatever went before."""
+def init(counts: np.ndarray, hidden: int = HIDDEN, seed: int = 42, size: int | None = None) -> Params:
+    """Weights that give every word its share of the counts, whatever went before. Numbers with a negative count are no words."""
     rng = np.random.default_rng(seed)
-    size = class_size(len(counts))
+    size = size or class_size(len(counts))
     classes = -(-len(counts) // size)
     share = np.zeros(classes * size)
-    share[: len(counts)] = (counts + 0.1) / (counts + 0.1).sum()
-    share = share.reshape(classes, size)
+    share[: len(counts)] = np.where(counts < 0, 0, counts + 0.1)
+    share = (share / share.sum()).reshape(classes, size)
     total = share.sum(axis=1)
     with np.errstate(divide="ignore"):
         within = np.where(share > 0, np.log(share / total[:, None]), -1e4)
@@ -75,14 +75,16 @@ def _soft(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x, own - np.log(sums)
 
 
-def _by_class(word: np.ndarray, size: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-    """An order by class, and class, begin, end in it."""
+def _by_class(word: np.ndarray, p: Params) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order by class, and class, begin, end in it, without the first class if that has one word only."""
+    size = p["wb"].shape[1]
     cls = word // size
     order = np.argsort(cls, kind="stable")
     cls = cls[order]
     cuts = np.flatnonzero(np.diff(cls)) + 1
     begins = [0, *cuts.tolist()] if len(word) else []
-    return order, [(int(cls[a]), a, b) for a, b in zip(begins, [*begins[1:], len(word)], strict=True)]
+    alone = size > 1 and p["wb"][0, 1] < -9999
+    return order, [(int(cls[a]), a, b) for a, b in zip(begins, [*begins[1:], len(word)], strict=True) if cls[a] or not alone]
 
 
 def _log_share(x: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -101,8 +103,8 @@ def word_log_probs(p: Params, h: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Natural log-probability of each word after the state in the same row."""
     size = p["wb"].shape[1]
     out = _log_share(h @ p["c"] + p["cb"], word // size)
-    order, parts = _by_class(word, size)
-    hs, ws, more = h[order], word[order] % size, np.empty(len(word))
+    order, parts = _by_class(word, p)
+    hs, ws, more = h[order], word[order] % size, np.zeros(len(word))
     for c, a, b in parts:
         more[a:b] = _log_share(hs[a:b] @ p["w"][c] + p["wb"][c], ws[a:b])
     out[order] += more
@@ -174,7 +176,7 @@ def gradients(p: Params, before: np.ndarray, word: np.ndarray, live: np.ndarray,
         out[t] = h
     rows = np.flatnonzero(live.ravel())
     ys = word.ravel()[rows]
-    order, parts = _by_class(ys, size)
+    order, parts = _by_class(ys, p)
     rows, ys = rows[order], ys[order]
     hs = out.reshape(-1, hidden)[rows]
     scale = kind.type(1 / max(1, len(rows)))

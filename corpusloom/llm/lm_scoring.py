@@ -16,24 +16,24 @@ Other columns are ignored. Without training documents every count is 0 and the b
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm import gru
-from corpusloom.llm.common import cut, small_arrow_batches
+from corpusloom.llm.common import byte_groups, cut
 
-FOLDS, HOT, ROUNDS, RATE, ALPHA = 10, 131_072, 2, 0.05, 0.1
+FOLDS, HOT, ROUNDS, RATE, ALPHA = 10, 1 << 19, 2, 0.05, 0.1
 #: Words of the model: FACTOR times the cube root of the training words, as a power of two within these bounds.
-FACTOR, FEWEST, MOST = 26, 256, 8192
+FACTOR, FEWEST, MOST = 13, 256, 4096
 #: The end of a text among the words, which hold no white space.
 END = "\n"
-FLUSH, TOKENS, CHUNK = 400_000, 2_000_000, 8192
+FLUSH, TOKENS, CHUNK, GROUP_BYTES = 1_500_000, 2_000_000, 8192, 8 << 20
 
 
 def grown(train_tokens: int) -> int:
@@ -41,33 +41,53 @@ def grown(train_tokens: int) -> int:
     return max(FEWEST, min(MOST, 1 << round(np.log2(FACTOR * max(train_tokens, 1) ** (1 / 3))))) - 2
 
 
-def tokens_of(text: bytes) -> list[bytes]:
-    """Lower-cased (A-Z) words between ASCII white space."""
-    return text.lower().split()
+def tokens_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Lower-cased (A-Z) words between ASCII white space of all texts, and how many each has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    flat, offsets = lists.flatten(), lists.offsets.to_numpy()
+    real = pc.not_equal(flat, "")
+    before = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
+    return flat.filter(real), np.diff(before[offsets - offsets[0]])
+
+
+def _groups(batch: pa.RecordBatch, text: str = "_text") -> Iterator[pa.RecordBatch]:
+    """Rows of a batch in groups of bounded bytes."""
+    sizes = pc.binary_length(batch.column(text)).to_pylist()
+    for rows in byte_groups(sizes, GROUP_BYTES):
+        yield batch.slice(rows.start, len(rows))
 
 
 def count_words(docs: DataFrame) -> DataFrame:
     """word, c (in training documents), t (in all). docs: _held, _text."""
 
+    def counted(texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+        flat, _ = tokens_of(texts)
+        found = pc.value_counts(flat)
+        return pa.concat_arrays([found.field(0), pa.array([END])]), pa.concat_arrays([found.field(1), pa.array([len(texts)], pa.int64())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both: tuple[Counter, Counter] = (Counter(), Counter())
+        parts, n = [], 0
 
-        def rows() -> pa.RecordBatch:
-            words = list(both[0].keys() | both[1].keys())
-            c, h = ([x[w] for w in words] for x in both)
-            for x in both:
-                x.clear()
-            text = pa.array(words, pa.binary()).cast(pa.string())
-            return pa.RecordBatch.from_arrays([text, pa.array(c, pa.int64()), pa.array(np.add(c, h).astype(np.int64), pa.int64())], ["word", "c", "t"])
+        def merged() -> pa.Table:
+            out = pa.concat_tables(parts).group_by("word").aggregate([("c", "sum"), ("t", "sum")])
+            return out.select(["word", "c_sum", "t_sum"]).rename_columns(["word", "c", "t"])
 
         for batch in batches:
-            for held, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
-                own = both[held]
-                own.update(tokens_of(text))
-                own[END.encode()] += 1
-                if len(both[0]) + len(both[1]) > FLUSH:
-                    yield rows()
-        yield rows()
+            for rows in _groups(batch):
+                for held in (False, True):
+                    texts = rows.column("_text").filter(pc.equal(rows.column("_held"), held))
+                    if len(texts):
+                        word, count = counted(texts)
+                        parts.append(pa.table({"word": word, "c": pa.array(np.zeros(len(count), np.int64)) if held else count, "t": count}))
+                        n += len(word)
+                if n > FLUSH:
+                    parts = [merged()]
+                    n = len(parts[0])
+                    if n > FLUSH // 2:
+                        yield from parts[0].to_batches()
+                        parts, n = [], 0
+        if parts:
+            yield from merged().to_batches()
 
     found = docs.select("_held", "_text").mapInArrow(run, "word string, c long, t long")
     return found.groupBy("word").agg(F.sum("c").alias("c"), F.sum("t").alias("t"))
@@ -89,20 +109,22 @@ def _average(copies: DataFrame) -> DataFrame:
 
 
 class Vocabulary:
-    """Numbers of the model's words by falling frequency."""
+    """Numbers of the model's words: all others are number 0, alone in their class, then the words by falling frequency from the next class on."""
 
     def __init__(self, words: list[str], c: np.ndarray, total: int, ends: int):
         """words: the most frequent, without the end, with their counts in training documents."""
-        counts = np.array([total - ends - c.sum(), ends, *c], np.float64)
-        order = np.argsort(-counts, kind="stable")
-        rank = np.empty(len(counts), np.int64)
-        rank[order] = np.arange(len(counts))
-        self.counts, self.other, self.end = counts[order], int(rank[0]), int(rank[1])
-        self.number = {w.encode(): int(rank[i + 2]) for i, w in enumerate(words)}
+        self.other, self.first = 0, gru.class_size(len(words))
+        order = np.argsort(-np.array([ends, *c], np.float64), kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        self.counts = np.array([total - ends - c.sum(), *[-1] * (self.first - 1), *np.array([ends, *c], np.float64)[order]])
+        self.end = int(rank[0]) + self.first
+        self.words, self.numbers = pa.array(words, pa.string()), np.append(rank[1:] + self.first, 0).astype(np.int32)
 
-    def encode(self, words: list[bytes]) -> np.ndarray:
-        get, other = self.number.get, self.other
-        return np.array([*[get(w, other) for w in words], self.end], np.int32)
+    def encode(self, flat: pa.Array, n: np.ndarray) -> np.ndarray:
+        """The numbers of the words of texts, of which each has n, with an end after each."""
+        at = pc.fill_null(pc.index_in(flat, value_set=self.words), len(self.words)).to_numpy()
+        return np.insert(self.numbers[at], np.cumsum(n), np.int32(self.end))
 
 
 def train_round(docs: DataFrame, model, k: int, rounds: int) -> np.ndarray:
@@ -112,14 +134,19 @@ def train_round(docs: DataFrame, model, k: int, rounds: int) -> np.ndarray:
         vocabulary, flat, like = model.value
         p = gru.unpack(flat, like)
         part, n, weight, mine = None, 0, 0, []
+
+        def learn() -> None:
+            nonlocal p, n, weight, mine
+            p, weight, n, mine = gru.train(p, mine, vocabulary.end, rate=RATE / (k + 1)), weight + n, 0, []
+
         for batch in batches:
-            for where, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
-                part = where if part is None else part
-                mine.append(vocabulary.encode(tokens_of(text)))
+            for rows in _groups(batch):
+                part = rows.column(0)[0].as_py() if part is None else part
+                mine.append(vocabulary.encode(*tokens_of(rows.column("_text"))))
                 n += len(mine[-1])
                 if n > TOKENS:
-                    p, weight, n, mine = gru.train(p, mine, vocabulary.end, rate=RATE / (k + 1)), weight + n, 0, []
-        p, weight = gru.train(p, mine, vocabulary.end, rate=RATE / (k + 1)), weight + n
+                    learn()
+        learn()
         if weight:
             values = gru.pack(p)
             cuts = [values[i : i + CHUNK].tobytes() for i in range(0, len(values), CHUNK)]
@@ -138,7 +165,7 @@ class Model:
     total: int
     distinct: int
     ends: int
-    hot: dict[bytes, int]
+    hot: pa.Table
     vocabulary: Vocabulary
     flat: np.ndarray
     like: gru.Params
@@ -152,19 +179,17 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary_size: int | None = None, rounds: int = ROUNDS, hot: int = HOT) -> Model:
     """Counts of all words, and a network that has gone through every training document once."""
     spark = docs.sparkSession
-    small_arrow_batches(spark)
     rows = _rows(docs, id_col, text_col)
     counts = cut(count_words(rows))
     total, distinct, ends = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0), F.coalesce(F.sum(F.when(F.col("word") == END, F.col("c"))), F.lit(0))).first()
-    known = cut(counts.orderBy(F.desc("t"), "word").limit(hot)).toArrow().to_pydict()  # at most `hot` words
-    hot_words = dict(zip([w.encode() for w in known["word"]], known["c"], strict=True))
-    frequent = sorted(((n, w) for w, n in hot_words.items() if n and w != END.encode()), key=lambda x: (-x[0], x[1]))[: vocabulary_size or grown(total)]
-    vocabulary = Vocabulary([w.decode() for _, w in frequent], np.array([n for n, _ in frequent], np.float64), total, ends)
-    like = gru.init(vocabulary.counts)
+    frequent_ones = cut(counts.filter(F.col("word") != END).orderBy(F.desc("t"), "word").limit(hot)).select("word", "c").toArrow()  # at most `hot` words
+    known = frequent_ones.filter(pc.greater(frequent_ones["c"], 0)).sort_by([("c", "descending"), ("word", "ascending")]).slice(0, vocabulary_size or grown(total))
+    vocabulary = Vocabulary(known["word"].to_pylist(), known["c"].to_numpy().astype(np.float64), total, ends)
+    like = gru.init(vocabulary.counts, size=vocabulary.first)
     flat = gru.pack(like)
     for k in range(rounds):
         flat = train_round(rows, spark.sparkContext.broadcast((vocabulary, flat, like)), k, rounds)
-    return Model(counts, total, distinct, ends, hot_words, vocabulary, flat, like)
+    return Model(counts, total, distinct, ends, frequent_ones, vocabulary, flat, like)
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", learned: Model | None = None, **how) -> DataFrame:
@@ -180,47 +205,50 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", learn
         vocabulary, flat, like, counts = model.value
         p = gru.unpack(flat, like)
         # by place among the hot words; the last place is that of all rarer words
-        place = {w: i for i, w in enumerate(counts)}
-        c = np.array([*counts.values(), 0], np.float64)
+        words = counts.column("word").combine_chunks().cast(pa.string())
+        c = np.append(counts.column("c").to_numpy(), 0).astype(np.float64)
         logs, seen = np.log10(c + ALPHA), c > 0
         logs[-1] = 0
-        number = np.array([*[vocabulary.number.get(w, vocabulary.other) for w in counts], vocabulary.other], np.int32)
+        number = np.append(vocabulary.encode(words, np.empty(0, np.int64)), np.int32(vocabulary.other))
         other = number == vocabulary.other
         other_logs = logs * other
-        get, end = place.get, np.array([vocabulary.end], np.int32)
         end_log, end_known = np.log10(ends + ALPHA), int(ends > 0)
-        id_arrow, held_rows, coded, size = None, [], [], 0
-
-        def done() -> pa.RecordBatch:
-            ll = gru.log_likelihoods(p, coded, vocabulary.end) / np.log(10)
-            types = [id_arrow, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.float64(), pa.list_(pa.string())]
-            arrays = [pa.array(x, t) for x, t in zip(zip(*held_rows, strict=True), types, strict=True)]
-            held_rows.clear()
+        rows_of, coded, size = [], [], 0
+        names = ["_row_id", "held_out", "n_tokens", "n_known", "base", "n_other", "other", "rare", "model"]
+
+        def done() -> Iterator[pa.RecordBatch]:
+            ll = gru.log_likelihoods(p, [d for docs in coded for d in docs], vocabulary.end) / np.log(10)
+            start = 0
+            for columns in rows_of:
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(ll[start : start + len(columns[0])], pa.float64())], names)
+                start += len(columns[0])
+            rows_of.clear()
             coded.clear()
-            return pa.RecordBatch.from_arrays([*arrays, pa.array(ll, pa.float64())], ["_row_id", "held_out", "n_tokens", "n_known", "base", "n_other", "other", "rare", "model"])
 
         for batch in batches:
-            id_arrow = batch.column(0).type
-            for i, held, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()).to_pylist(), strict=True):
-                words = tokens_of(text)
-                at = np.array([get(w, -1) for w in words], np.int64)
-                rare = [words[k].decode() for k in np.flatnonzero(at < 0)]
-                held_rows.append((i, held, len(words) + 1, int(seen[at].sum()) + end_known, float(logs[at].sum() + end_log), int(other[at].sum()), float(other_logs[at].sum()), rare))
-                coded.append(np.concatenate([number[at], end]))
-                size += len(words) + 1
+            for rows in _groups(batch):
+                flat, n = tokens_of(rows.column("_text"))
+                at = pc.fill_null(pc.index_in(flat, value_set=words), len(words)).to_numpy()
+                ends_at = np.cumsum(n)
+                sums = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[np.concatenate([[0], ends_at])])  # noqa: B023, E731
+                rare = at == len(words)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sums(rare))]), pa.int32()), flat.filter(pa.array(rare)))
+                rows_of.append([rows.column("_row_id"), rows.column("_held"), pa.array(n + 1, pa.int64()), pa.array(sums(seen[at]) + end_known, pa.int64()), pa.array(sums(logs[at]) + end_log), pa.array(sums(other[at]), pa.int64()), pa.array(sums(other_logs[at])), lists])
+                coded.append(np.split(np.insert(number[at], ends_at, np.int32(vocabulary.end)), np.cumsum(n + 1)[:-1]))
+                size += len(flat) + len(n)
                 if size > TOKENS:
-                    yield done()
+                    yield from done()
                     size = 0
         if coded:
-            yield done()
+            yield from done()
 
     schema = f"_row_id {id_type}, held_out boolean, n_tokens long, n_known long, base double, n_other long, other double, rare array<string>, model double"
     scored = cut(rows.select("_row_id", "_held", "_text").mapInArrow(run, schema).withColumn("_uid", F.monotonically_increasing_id()))
     words = scored.filter(F.size("rare") > 0).select("_uid", F.explode("rare").alias("word")).groupBy("_uid", "word").agg(F.count("*").alias("n"))
     log = F.log10(F.coalesce("c", F.lit(0)) + ALPHA)
     rare = words.join(counts.select("word", "c"), "word", "left").groupBy("_uid").agg(F.sum(F.col("n") * log).alias("rare_log"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("rare_known"))
-    in_model = float(vocabulary.counts.sum() - vocabulary.counts[vocabulary.other])
-    mass = float(np.log10(total - in_model + ALPHA * (distinct - len(vocabulary.number) - (ends > 0) + 1)))
+    in_model = total - float(vocabulary.counts[vocabulary.other])
+    mass = float(np.log10(total - in_model + ALPHA * (distinct - len(vocabulary.words) - (ends > 0) + 1)))
     base = float(np.log10(total + ALPHA * (distinct + 1)))
     more = F.coalesce("rare_log", F.lit(0.0))
     out = scored.drop("rare").join(rare, "_uid", "left")
