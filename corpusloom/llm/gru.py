@@ -15,7 +15,7 @@ import heapq
 
 import numpy as np
 
-HIDDEN, WINDOW, LANES = 32, 64, 256
+HIDDEN, WINDOW, LANES = 24, 64, 256
 #: Of training: steps of a window, and for so many windows there are lanes, 16 to 256.
 STEPS, WINDOWS, DECAY = 16, 200, 0.98
 Params = dict[str, np.ndarray]
@@ -27,7 +27,8 @@ def class_size(words: int) -> int:
 
 
 def init(counts: np.ndarray, hidden: int = HIDDEN, seed: int = 42, size: int | None = None) -> Params:
-    """Weights that give every word its share of the counts, whatever went before. Numbers with a negative count are no words."""
+    """Weights that give every word its share of the counts, whatever went before. Numbers with a negative count are no words.
+    The last row of c, and of each class in w, is what is added to the logits: states are given a last column of ones."""
     rng = np.random.default_rng(seed)
     size = size or class_size(len(counts))
     classes = -(-len(counts) // size)
@@ -38,11 +39,9 @@ def init(counts: np.ndarray, hidden: int = HIDDEN, seed: int = 42, size: int | N
     with np.errstate(divide="ignore"):
         within = np.where(share > 0, np.log(share / total[:, None]), -1e4)
     normal = lambda scale, *shape: rng.normal(0, scale, shape).astype(np.float32)
-    return {
-        "x": normal(0.3, classes * size, 2 * hidden), "u": normal(hidden**-0.5, hidden, 2 * hidden), "xb": np.zeros(2 * hidden, np.float32),
-        "c": np.zeros((hidden, classes), np.float32), "cb": np.log(total).astype(np.float32),
-        "w": np.zeros((classes, hidden, size), np.float32), "wb": within.astype(np.float32),
-    }
+    c, w = np.zeros((hidden + 1, classes), np.float32), np.zeros((classes, hidden + 1, size), np.float32)
+    c[-1], w[:, -1] = np.log(total), within
+    return {"x": normal(0.3, classes * size, 2 * hidden), "u": normal(hidden**-0.5, hidden, 2 * hidden), "xb": np.zeros(2 * hidden, np.float32), "c": c, "w": w}
 
 
 def _step(u, a, h):
@@ -65,49 +64,62 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
-def _soft(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Shares (in x's place) and the log-share at one place of each row."""
-    x -= x.max(axis=1, keepdims=True)
-    own = x[np.arange(len(at)), at].astype(np.float64)
+def _exp_sums(x: np.ndarray) -> np.ndarray:
+    """Puts exp(x) in x's place, up to a factor for each row, and gives the sums of the rows. Rows are shifted only where numbers would leave the range."""
+    if x.max(initial=0) > 60 or x[:, 0].min(initial=0) < -60:
+        x -= x.max(axis=1, keepdims=True)
     np.exp(x, out=x)
-    sums = x @ np.ones(x.shape[1], x.dtype)
-    x *= (1 / sums)[:, None]
-    return x, own - np.log(sums)
+    return x @ np.ones(x.shape[1], x.dtype)
+
+
+def _soft(x: np.ndarray, at: np.ndarray, scale: float) -> tuple[np.ndarray, np.ndarray]:
+    """The log-share at one place of each row, and its negative derivative times scale (in x's place)."""
+    k = np.arange(len(at))
+    sums = _exp_sums(x)
+    ll = np.log(np.maximum(x[k, at] / sums, 1e-38))
+    x *= (scale / sums)[:, None]
+    x[k, at] -= scale
+    return x, ll
 
 
 def _by_class(word: np.ndarray, p: Params) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
     """An order by class, and class, begin, end in it, without the first class if that has one word only."""
-    size = p["wb"].shape[1]
+    size = p["w"].shape[2]
     cls = word // size
     order = np.argsort(cls, kind="stable")
     cls = cls[order]
     cuts = np.flatnonzero(np.diff(cls)) + 1
     begins = [0, *cuts.tolist()] if len(word) else []
-    alone = size > 1 and p["wb"][0, 1] < -9999
+    alone = size > 1 and p["w"][0, -1, 1] < -9999
     return order, [(int(cls[a]), a, b) for a, b in zip(begins, [*begins[1:], len(word)], strict=True) if cls[a] or not alone]
 
 
 def _log_share(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """log_softmax(x) at one place of each row. Overwrites x. One shift for all rows is enough unless a row lies far below it."""
-    own = x[np.arange(len(at)), at].astype(np.float64)
-    top = x.max()
-    x -= top
-    low = x.max(axis=1) < -50
-    if low.any():
-        x[low] = _log_softmax(x[low])
-        own[low] = x[low, at[low]] + top
-    return own - top - np.log(np.exp(x, out=x) @ np.ones(x.shape[1], x.dtype))
+    """log_softmax(x) at one place of each row. Overwrites x."""
+    k = np.arange(len(at))
+    own = x[k, at].astype(np.float64)
+    top = x.max(axis=1) if x.max(initial=0) > 60 or own.min(initial=0) < -60 else None
+    if top is not None:
+        x -= top[:, None]
+        own -= top
+    return own - np.log(np.exp(x, out=x) @ np.ones(x.shape[1], x.dtype))
+
+
+def _with_ones(h: np.ndarray) -> np.ndarray:
+    return np.concatenate([h, np.ones((len(h), 1), h.dtype)], axis=1)
 
 
 def word_log_probs(p: Params, h: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Natural log-probability of each word after the state in the same row."""
-    size = p["wb"].shape[1]
-    out = _log_share(h @ p["c"] + p["cb"], word // size)
+    size = p["w"].shape[2]
     order, parts = _by_class(word, p)
-    hs, ws, more = h[order], word[order] % size, np.zeros(len(word))
+    hs, ws = _with_ones(h[order]), word[order]
+    own = _log_share(hs @ p["c"], ws // size)
+    ws = ws % size
     for c, a, b in parts:
-        more[a:b] = _log_share(hs[a:b] @ p["w"][c] + p["wb"][c], ws[a:b])
-    out[order] += more
+        own[a:b] += _log_share(hs[a:b] @ p["w"][c], ws[a:b])
+    out = np.empty(len(word))
+    out[order] = own
     return out
 
 
@@ -161,10 +173,10 @@ def log_likelihoods(p: Params, docs: list[np.ndarray], end: int) -> np.ndarray:
 
 
 def gradients(p: Params, before: np.ndarray, word: np.ndarray, live: np.ndarray, h: np.ndarray, end: int) -> tuple[Params, dict[str, np.ndarray], np.ndarray, float]:
-    """Of the mean log-loss over a window (steps x lanes; live: which words count), back-propagated to the window's begin; which rows of x, w and wb
+    """Of the mean log-loss over a window (steps x lanes; live: which words count), back-propagated to the window's begin; which rows of x and w
     they are of (the others have none), the state after the window, and the loss."""
     steps, lanes = word.shape
-    hidden, size = p["u"].shape[0], p["wb"].shape[1]
+    hidden, size = p["u"].shape[0], p["w"].shape[2]
     kind = p["u"].dtype
     a = p["x"][before] + p["xb"]
     on = (before != end).astype(kind)[:, :, None]
@@ -178,23 +190,17 @@ def gradients(p: Params, before: np.ndarray, word: np.ndarray, live: np.ndarray,
     ys = word.ravel()[rows]
     order, parts = _by_class(ys, p)
     rows, ys = rows[order], ys[order]
-    hs = out.reshape(-1, hidden)[rows]
-    scale = kind.type(1 / max(1, len(rows)))
-    g = {}
-    d, ll = _soft(hs @ p["c"] + p["cb"], ys // size)
-    d[np.arange(len(ys)), ys // size] -= 1
-    d *= scale
-    g["c"], g["cb"], dh = hs.T @ d, d.sum(axis=0), d @ p["c"].T
-    g["w"], g["wb"] = np.empty((len(parts), hidden, size), kind), np.empty((len(parts), size), kind)
+    hs, scale, g = _with_ones(out.reshape(-1, hidden)[rows]), kind.type(1 / max(1, len(rows))), {}
+    d, ll = _soft(hs @ p["c"], ys // size, scale)
+    g["c"], dh = hs.T @ d, d @ p["c"][:-1].T
+    g["w"] = np.empty((len(parts), hidden + 1, size), kind)
     within = ys % size
     for k, (c, i, j) in enumerate(parts):
-        d, l2 = _soft(hs[i:j] @ p["w"][c] + p["wb"][c], within[i:j])
-        d[np.arange(j - i), within[i:j]] -= 1
-        d *= scale
-        ll[i:j] += l2
-        np.matmul(hs[i:j].T, d, out=g["w"][k])
-        d.sum(axis=0, out=g["wb"][k])
-        dh[i:j] += d @ p["w"][c].T
+        own = hs[i:j]
+        d, more = _soft(own @ p["w"][c], within[i:j], scale)
+        ll[i:j] += more
+        np.matmul(own.T, d, out=g["w"][k])
+        dh[i:j] += d @ p["w"][c, :-1].T
     all_dh = np.zeros((steps * lanes, hidden), kind)
     all_dh[rows] = dh
     all_dh = all_dh.reshape(steps, lanes, hidden)
@@ -217,7 +223,7 @@ def gradients(p: Params, before: np.ndarray, word: np.ndarray, live: np.ndarray,
     by = np.argsort(seen, kind="stable")
     starts = np.concatenate([[0], np.flatnonzero(np.diff(seen[by])) + 1])
     g["x"] = np.add.reduceat(flat[by], starts, axis=0)
-    return g, {"x": seen[by][starts], "w": np.array([c for c, _, _ in parts]), "wb": np.array([c for c, _, _ in parts])}, h, -float(ll.mean()) if len(ll) else 0.0
+    return g, {"x": seen[by][starts], "w": np.array([c for c, _, _ in parts], np.int64)}, h, -float(ll.mean()) if len(ll) else 0.0
 
 
 def train(p: Params, docs: list[np.ndarray], end: int, window: int = STEPS, rate: float = 0.05) -> Params:

@@ -71,7 +71,7 @@ def test_empty_table_and_no_training_documents(spark):
 def plain_score(model, text):
     """Word by word, in double precision, with the weights that were learned."""
     p = {k: v.astype(float) for k, v in gru.unpack(model.flat, model.like).items()}
-    v, size, n = model.vocabulary, p["wb"].shape[1], p["u"].shape[0]
+    v, size, n = model.vocabulary, p["w"].shape[2], p["u"].shape[0]
     counts = {r.word.encode(): r.c for r in model.counts.collect()}
     number = dict(zip([w.encode() for w in v.words.to_pylist()], v.numbers.tolist(), strict=False))
     rare = [c for w, c in counts.items() if w not in number and w != b"\n"]
@@ -83,7 +83,8 @@ def plain_score(model, text):
         a = p["x"][before] + p["xb"] + h @ p["u"]
         z, new = 0.5 + 0.5 * np.tanh(a[:n]), np.tanh(a[n:])
         h = z * h + (1 - z) * new
-        out += soft(h @ p["c"] + p["cb"])[k // size] + soft(h @ p["w"][k // size] + p["wb"][k // size])[k % size]
+        one = np.append(h, 1)
+        out += soft(one @ p["c"])[k // size] + soft(one @ p["w"][k // size])[k % size]
         if k == v.other:
             out += math.log((counts.get(w, 0) + 0.1) / (mass + 0.1 * (u + 1)))
         before = k
@@ -123,7 +124,7 @@ def test_the_vocabulary_grows_with_the_corpus():
 def test_gradients_are_those_of_the_loss():
     rng = np.random.default_rng(0)
     p = {k: v.astype(np.float64) + rng.normal(0, 0.2, v.shape) for k, v in gru.init(np.arange(70.0, 0, -1), hidden=3).items()}
-    p["wb"] = np.maximum(p["wb"], -5)
+    p["w"] = np.maximum(p["w"], -5)
     word = rng.integers(0, 70, (6, 4))
     before, live, h = np.vstack([word[:1] * 0, word[:-1]]), rng.random((6, 4)) < 0.8, rng.normal(0, 1, (4, 3))
     some, where, _, _ = gru.gradients(p, before, word, live, h, 5)
@@ -159,6 +160,7 @@ def test_state_is_carried_over_windows_and_probabilities_add_up():
 
 def test_shares_of_rows_far_below_the_others():
     x = np.array([[1.0, 2, -1e4], [-300, -301, -302], [90, 0, 1], [-1e4, -1e4, 5]], np.float32)
+    assert np.allclose(np.exp(gru._soft(x.copy(), np.array([1, 2, 0, 2]), 1.0)[1]), [0.731059, 0.090031, 1, 1], atol=1e-4)
     at = np.array([1, 2, 2, 2])
     want = gru._log_softmax(x)[np.arange(4), at]
     assert np.allclose(gru._log_share(x.copy(), at), want, atol=1e-4)
