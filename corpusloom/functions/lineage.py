@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Uses the folder the cluster names in spark.checkpoint.dir; sets one only where there is none (local tests)."""
+    """Uses the folder the cluster names in spark.checkpoint.dir. Only a local session, whose tasks share the driver's disk, may go without and gets a temporary one."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corpusloom-ckpt-"))
+        path = spark.conf.get("spark.checkpoint.dir", None)
+        if not path and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(path or tempfile.mkdtemp(prefix="corpusloom-ckpt-"))
 
 
 def cut(df: DataFrame) -> DataFrame:
