@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.functions.lineage import cut, ensure_checkpoint_dir
+
+__all__ = ["cut", "ensure_checkpoint_dir"]
+
 #: ASCII white space: the characters \x20 and \x09-\x0D.
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
 WORD_CLASS = r"[^\x20\x09-\x0D]+"
@@ -20,19 +26,6 @@ def session(df: DataFrame) -> SparkSession:
     return df.sparkSession
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Uses the folder the cluster names in spark.checkpoint.dir; sets one only where there is none (local tests)."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corpusloom-ckpt-"))
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """The same rows with their lineage cut by a reliable checkpoint in the shared folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def shared_dir(spark: SparkSession) -> str:
     """URI of the folder that driver and executors share."""
     ensure_checkpoint_dir(spark)
@@ -54,11 +47,6 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def small_arrow_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Bounds what one Arrow batch holds when texts are long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-
-
 def byte_groups(sizes: list[int], limit: int) -> Iterator[range]:
     """Consecutive ranges of rows of at most limit bytes, or of one row."""
     start = total = 0
@@ -71,6 +59,22 @@ def byte_groups(sizes: list[int], limit: int) -> Iterator[range]:
         yield range(start, len(sizes))
 
 
+def text_groups(batch: pa.RecordBatch, text: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch in groups of at most limit bytes of text, or of one row. A batch itself is bounded by spark.sql.execution.arrow.maxBytesPerBatch (64 MB unless set)."""
+    sizes = pc.binary_length(batch.column(text)).to_pylist()
+    for rows in byte_groups(sizes, limit):
+        yield batch.slice(rows.start, len(rows))
+
+
+def arrow_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Lower-cased (A-Z) words between ASCII white space of all texts, and how many each has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    flat, offsets = lists.flatten(), lists.offsets.to_numpy()
+    real = pc.not_equal(flat, "")
+    before = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
+    return flat.filter(real), np.diff(before[offsets - offsets[0]])
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The same rows, written as Parquet to the shared folder and read again; unlike after cut() columns can be pruned."""
     path = f"{shared_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"

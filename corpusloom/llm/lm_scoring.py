@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm import gru
-from corpusloom.llm.common import byte_groups, cut
+from corpusloom.llm.common import arrow_words, cut, text_groups
 
 FOLDS, HOT, ROUNDS, RATE, ALPHA = 10, 1 << 19, 2, 0.05, 0.1
 #: Words of the model: FACTOR times the cube root of the training words, as a power of two within these bounds.
@@ -41,27 +41,11 @@ def grown(train_tokens: int) -> int:
     return max(FEWEST, min(MOST, 1 << round(np.log2(FACTOR * max(train_tokens, 1) ** (1 / 3))))) - 2
 
 
-def tokens_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """Lower-cased (A-Z) words between ASCII white space of all texts, and how many each has."""
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
-    flat, offsets = lists.flatten(), lists.offsets.to_numpy()
-    real = pc.not_equal(flat, "")
-    before = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
-    return flat.filter(real), np.diff(before[offsets - offsets[0]])
-
-
-def _groups(batch: pa.RecordBatch, text: str = "_text") -> Iterator[pa.RecordBatch]:
-    """Rows of a batch in groups of bounded bytes."""
-    sizes = pc.binary_length(batch.column(text)).to_pylist()
-    for rows in byte_groups(sizes, GROUP_BYTES):
-        yield batch.slice(rows.start, len(rows))
-
-
 def count_words(docs: DataFrame) -> DataFrame:
     """word, c (in training documents), t (in all). docs: _held, _text."""
 
     def counted(texts: pa.Array) -> tuple[pa.Array, pa.Array]:
-        flat, _ = tokens_of(texts)
+        flat, _ = arrow_words(texts)
         found = pc.value_counts(flat)
         return pa.concat_arrays([found.field(0), pa.array([END])]), pa.concat_arrays([found.field(1), pa.array([len(texts)], pa.int64())])
 
@@ -73,7 +57,7 @@ def count_words(docs: DataFrame) -> DataFrame:
             return out.select(["word", "c_sum", "t_sum"]).rename_columns(["word", "c", "t"])
 
         for batch in batches:
-            for rows in _groups(batch):
+            for rows in text_groups(batch, "_text", GROUP_BYTES):
                 for held in (False, True):
                     texts = rows.column("_text").filter(pc.equal(rows.column("_held"), held))
                     if len(texts):
@@ -140,9 +124,9 @@ def train_round(docs: DataFrame, model, k: int, rounds: int) -> np.ndarray:
             p, weight, n, mine = gru.train(p, mine, vocabulary.end, rate=RATE / (k + 1)), weight + n, 0, []
 
         for batch in batches:
-            for rows in _groups(batch):
+            for rows in text_groups(batch, "_text", GROUP_BYTES):
                 part = rows.column(0)[0].as_py() if part is None else part
-                mine.append(vocabulary.encode(*tokens_of(rows.column("_text"))))
+                mine.append(vocabulary.encode(*arrow_words(rows.column("_text"))))
                 n += len(mine[-1])
                 if n > TOKENS:
                     learn()
@@ -226,8 +210,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", learn
             coded.clear()
 
         for batch in batches:
-            for rows in _groups(batch):
-                flat, n = tokens_of(rows.column("_text"))
+            for rows in text_groups(batch, "_text", GROUP_BYTES):
+                flat, n = arrow_words(rows.column("_text"))
                 at = pc.fill_null(pc.index_in(flat, value_set=words), len(words)).to_numpy()
                 ends_at = np.cumsum(n)
                 sums = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[np.concatenate([[0], ends_at])])  # noqa: B023, E731

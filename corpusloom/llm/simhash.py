@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import cut, let, lower_ascii, small_arrow_batches, words_of
-from corpusloom.llm.graph import components
+from corpusloom.llm.common import cut, let, lower_ascii, words_of
+from corpusloom.operators.graph import components
 
 SHINGLE, DISTANCE, PAIRS = 3, 2, 32
 _BLOCK = 1 << 18
@@ -65,8 +65,7 @@ def majority_bits(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, fp (the 64 bits as a long)."""
-    small_arrow_batches(docs.sparkSession)
+    """id, fp (the 64 bits as a long), text_hash."""
     id_type = docs.select(F.col(id_col)).schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,10 +73,14 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             lists = batch.column(1)
             offsets = lists.offsets.to_numpy().astype(np.int64)
             fp = majority_bits(lists.values.to_numpy(zero_copy_only=False), offsets)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp, pa.int64())], [id_col, "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp, pa.int64()), batch.column(2)], [id_col, "fp", "text_hash"])
 
-    hashed = docs.select(F.col(id_col), shingle_hashes(F.col(text_col)).alias("_h"))
-    return hashed.mapInArrow(run, f"`{id_col}` {id_type}, fp long")
+    hashed = docs.select(F.col(id_col), shingle_hashes(F.col(text_col)).alias("_h"), text_hash(text_col).alias("text_hash"))
+    return hashed.mapInArrow(run, f"`{id_col}` {id_type}, fp long, text_hash long")
+
+
+def text_hash(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
 
 def _segment(fp: Column, i: int) -> Column:
@@ -121,25 +124,30 @@ def links(nodes: DataFrame) -> DataFrame:
     return pairs.unionByName(stars)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, fingerprint (16 hex digits), component_id (the smallest id reachable over links of 2 bits at most)."""
+def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """_id, fp, text_hash and _first (the least id and text in the component; null without an id)."""
     fps = cut(fingerprints(docs, id_col, text_col).withColumnRenamed(id_col, "_id"))
-    nodes = cut(fps.filter("_id is not null").groupBy("fp").agg(F.min("_id").alias("id")))
+    nodes = cut(fps.filter("_id is not null").groupBy("fp").agg(F.min(F.struct("_id", "text_hash")).alias("_r")).withColumn("id", F.col("fp")))
     labels = components(links(nodes))
-    known = nodes.join(labels, nodes.id == labels.node, "left").select("fp", F.coalesce("label", "id").alias("component_id"))
-    out = fps.join(known, "fp", "left")
-    component = F.when(F.col("_id").isNotNull(), F.col("component_id"))
-    return out.select(F.col("_id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), component.alias("component_id"))
+    known = nodes.join(labels, nodes.id == labels.node, "left").select("fp", "_r", F.coalesce("label", "id").alias("label"))
+    least = known.groupBy("label").agg(F.min("_r").alias("_first"))
+    out = fps.join(known.join(least, "label").select("fp", "_first"), "fp", "left")
+    return out.withColumn("_first", F.when(F.col("_id").isNotNull(), F.col("_first")))
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs whose id is their component's; of several rows with one id one stays. Rows with a null id stay."""
-    return keep_first(docs, near_duplicates(docs.select(id_col, text_col), id_col, text_col), id_col)
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, fingerprint (16 hex digits), component_id (the smallest id reachable over links of 2 bits at most)."""
+    return _classes(docs, id_col, text_col).select(F.col("_id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("_first._id").alias("component_id"))
 
 
-def keep_first(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """one_of_each with the components of found (id, component_id)."""
-    ids = cut(found.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_id")).distinct())
-    rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"))
-    kept = rows.join(ids, "_id").groupBy("_id").agg(F.min_by("_row", F.xxhash64("_row")).alias("_row"))
+def keep_first(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Of each component in found (_id, text_hash, _first) the row of docs that is first, of repeated rows one, and the rows with a null id."""
+    first = cut(found.filter(F.struct("_id", "text_hash") == F.col("_first")).select("_id", "text_hash").distinct())
+    rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"), text_hash(text_col).alias("text_hash"))
+    kept = rows.join(first, ["_id", "text_hash"]).groupBy("_id", "text_hash").agg(F.min_by("_row", F.xxhash64("_row")).alias("_row"))
     return kept.select("_row.*").unionByName(docs.filter(F.col(id_col).isNull()))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The row of docs with the smallest id of each component, of repeated rows one. Rows with a null id stay. Where one id has several texts, each is judged on its own."""
+    return keep_first(docs, _classes(docs.select(id_col, text_col), id_col, text_col), id_col, text_col)
