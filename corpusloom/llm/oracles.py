@@ -8,7 +8,6 @@ from corpusloom.llm.quality_rules import ALPHA, DELTA, GRIDS, MAX_STRATA
 W = r"[^\x20\x09-\x0D]+"
 
 _GRID = ", ".join(f"({i}, {c})" for i, cs in enumerate(GRIDS.values()) for c in cs)
-_A = ALPHA / len(GRIDS)
 
 OP3 = rf"""
 WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS text FROM documents),
@@ -32,23 +31,21 @@ f AS (
   FROM c),
 lab AS (SELECT doc_id, min(quality) AS q FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
 grid AS (SELECT * FROM (VALUES {_GRID}) AS t(s, cut)),
-rows AS (
-  SELECT own, s, cut, q = 1 AS good, substr(md5('quality:' || doc_id), 1, 1) < '8' AS hold, x[s + 1] > cut AS hit
-  FROM f JOIN lab USING (doc_id), grid WHERE NOT base_failed),
-sums0 AS (
-  SELECT own, s, cut, count(*) FILTER (good AND hold) AS n, count(*) FILTER (good AND hold AND hit) AS k, count(*) FILTER (good AND NOT hold) AS fg,
-    count(*) FILTER (good AND NOT hold AND hit) AS fgr, count(*) FILTER (NOT good AND NOT hold) AS fb, count(*) FILTER (NOT good AND NOT hold AND hit) AS fbr
-  FROM rows GROUP BY own, s, cut),
-large AS (SELECT own FROM (SELECT own, max(n) AS most FROM sums0 GROUP BY own) ORDER BY most DESC, own LIMIT {MAX_STRATA}),
-sums AS (
-  SELECT CASE WHEN own IN (FROM large) THEN own ELSE 'other' END AS stratum, s, cut, sum(n) AS n, sum(k) AS k, sum(fg) AS fg, sum(fgr) AS fgr, sum(fb) AS fb, sum(fbr) AS fbr
-  FROM sums0 GROUP BY 1, 2, 3),
-ok AS (
-  SELECT stratum, s, cut FROM sums
-  WHERE fbr * fg > fgr * fb AND k < n * {_A}
-    AND list_sum(list_transform(range(CAST(k AS BIGINT) + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({_A}) + (n - i) * ln({1 - _A}))))
-      <= {DELTA} / (((SELECT count(*) FROM large) + 1) * {sum(map(len, GRIDS.values()))})),
-best AS (SELECT stratum, s, min(cut) AS cut FROM ok GROUP BY stratum, s),
+rows0 AS (SELECT rid, own, q = 1 AS good, substr(md5('quality:' || doc_id), 1, 1) < '8' AS hold, x FROM f JOIN lab USING (doc_id) WHERE NOT base_failed),
+large AS (SELECT own FROM (SELECT own, count(*) FILTER (good AND hold) AS most FROM rows0 GROUP BY own) ORDER BY most DESC, own LIMIT {MAX_STRATA}),
+rows AS (SELECT *, row_number() OVER () AS r, CASE WHEN own IN (FROM large) THEN own ELSE 'other' END AS stratum FROM rows0),
+fit AS (
+  SELECT stratum, s, cut, count(*) FILTER (good) AS fg, count(*) FILTER (good AND x[s + 1] > cut) AS fgr, count(*) FILTER (NOT good) AS fb, count(*) FILTER (NOT good AND x[s + 1] > cut) AS fbr
+  FROM rows, grid WHERE NOT hold GROUP BY stratum, s, cut),
+seq AS (SELECT stratum, s, cut, row_number() OVER (PARTITION BY stratum ORDER BY (fgr + 1) / (fbr + 1), s, cut DESC) AS at FROM fit WHERE fbr * fg > fgr * fb),
+seen AS (SELECT stratum, r, min(at) FILTER (x[s + 1] > cut) AS at FROM rows JOIN seq USING (stratum) WHERE good AND hold GROUP BY stratum, r),
+tried AS (
+  SELECT stratum, s, cut, at, (SELECT count(*) FROM seen WHERE seen.stratum = seq.stratum) AS n, (SELECT count(*) FROM seen WHERE seen.stratum = seq.stratum AND seen.at <= seq.at) AS k FROM seq),
+tests AS (
+  SELECT *, n > 0 AND k < n * {ALPHA} AND list_sum(list_transform(range(CAST(k AS BIGINT) + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({ALPHA}) + (n - i) * ln({1 - ALPHA}))))
+      <= {DELTA} / ((SELECT count(*) FROM large) + 1) AS ok
+  FROM tried),
+best AS (SELECT stratum, s, min(cut) AS cut FROM (SELECT *, bool_and(ok) OVER (PARTITION BY stratum ORDER BY at) AS passed FROM tests) WHERE passed GROUP BY stratum, s),
 hits AS (SELECT DISTINCT rid FROM f JOIN best ON stratum = CASE WHEN own IN (FROM large) THEN own ELSE 'other' END AND x[s + 1] > cut)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rid NOT IN (FROM hits) AS kept FROM f
 """

@@ -2,14 +2,13 @@
 
 Five signals of a text (share of symbols, of equal lines and of repeated three-word windows, mean
 word length, its shortfall) have fixed grids of cutoffs. Documents with a label are split by a
-hash: one half (fit) tells which cutoffs reject bad documents more often than good ones,
-the other (holdout) tests each cutoff. For a cutoff that would reject k of the n good
-holdout documents of a stratum, the exact binomial tail P(Bin(n, a) <= k) bounds the
-chance of seeing so few if the true false-rejection rate were over a. A cutoff is certified
-if that is at most delta / (strata x cutoffs) (Bonferroni), with a = alpha / signals. Hence, with
-probability 1 - delta, in every stratum the certified cutoffs together reject at most alpha of
-good documents. Of each signal the strictest certified cutoff applies; a stratum with too few
-labels gets none, and only the base rules act there.
+hash. One half (fit) puts the cutoffs of a stratum that reject bad documents more often than good ones into
+one sequence, those first that reject few good ones for each bad one. The other half (holdout) tests, in this sequence, the rule that joins the cutoffs up to each:
+if it would reject k of the n good holdout documents, the exact binomial tail P(Bin(n, alpha) <= k) bounds the
+chance of seeing so few if the true false-rejection rate were over alpha. The first test that isn't passed at
+delta / strata ends the sequence. As the sequence is fixed before the holdout is seen, no
+division by the number of cutoffs is needed (fixed-sequence testing): with probability 1 - delta (Bonferroni over strata), in every stratum the certified cutoffs together reject at most alpha of
+good documents that the base rules keep. A stratum with too few labels (228 good holdout documents, with four others) gets none, and only the base rules act there.
 
 Strata are languages; null is a stratum of its own. At most MAX_STRATA strata, those with the most
 labels, have cutoffs of their own, the others share one: this bounds the table that is
@@ -20,7 +19,7 @@ Everything here is DataFrame operations.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import SPACES, cut, let, stored, words_of
@@ -100,21 +99,26 @@ def certified_cutoffs(counts: DataFrame, labels: DataFrame, alpha: float = ALPHA
     lab = labels.filter("quality is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("_good"))
     own = counts.filter(~F.col("base_failed")).select(F.col(f"_row.{id_col}").alias("_id"), F.coalesce(F.concat(F.lit("="), F.col(f"_row.{stratum_col}")), F.lit("null")).alias("_stratum"), _signals().alias("_x"))
     fold = F.substring(F.md5(F.concat(F.lit("quality:"), F.col("_id").cast("string"))), 1, 1) < "8"
+    rows = cut(own.join(lab, "_id").select("_stratum", (F.col("_good") == 1).alias("good"), fold.alias("hold"), "_x"))
+    good, hold = F.col("good"), F.col("hold")
+    large = cut(rows.groupBy("_stratum").agg(F.count_if(good & hold).alias("most")).orderBy(F.desc("most"), "_stratum").limit(MAX_STRATA).select("_stratum"))
+    tests = large.count() + 1
+    rows = rows.join(F.broadcast(large.withColumn("_own", F.lit(True))), "_stratum", "left").withColumn("_stratum", F.when(F.col("_own"), F.col("_stratum")).otherwise(F.lit("other")))
     grid = F.array(*[F.struct(F.lit(i).alias("s"), F.lit(c).cast("long").alias("c")) for i, cs in enumerate(GRIDS.values()) for c in cs])
-    rows = own.join(lab, "_id").select("_stratum", (F.col("_good") == 1).alias("good"), fold.alias("hold"), "_x", F.explode(grid).alias("g"))
     hit = F.get(F.col("_x"), F.col("g.s")) > F.col("g.c")
-    count = lambda *x: F.count_if(x[0] if len(x) == 1 else x[0] & x[1] if len(x) == 2 else x[0] & x[1] & x[2])
-    good, hold = F.col("good"), F.col("hold")
-    sums = {"n": count(good, hold), "k": count(good, hold, hit), "fg": count(good, ~hold), "fgr": count(good, ~hold, hit), "fb": count(~good, ~hold), "fbr": count(~good, ~hold, hit)}
-    by = rows.groupBy("_stratum", "g").agg(*[v.alias(k) for k, v in sums.items()])
-    by = cut(by)
-    large = cut(by.groupBy("_stratum").agg(F.max("n").alias("most")).orderBy(F.desc("most"), "_stratum").limit(MAX_STRATA).select("_stratum"))
-    strata = large.count() + 1
-    by = by.join(F.broadcast(large.withColumn("_own", F.lit(True))), "_stratum", "left").withColumn("_stratum", F.when(F.col("_own"), F.col("_stratum")).otherwise(F.lit("other")))
-    by = by.groupBy("_stratum", "g").agg(*[F.sum(k).alias(k) for k in sums])
-    tests = strata * sum(map(len, GRIDS.values()))
-    ok = (F.col("fbr") * F.col("fg") > F.col("fgr") * F.col("fb")) & (binomial_tail(F.col("k"), F.col("n"), alpha / len(GRIDS)) <= delta / tests)
-    return by.filter(ok).groupBy("_stratum").agg(*[F.min(F.when(F.col("g.s") == i, F.col("g.c"))).alias(s) for i, s in enumerate(GRIDS)])
+    fit = rows.filter(~hold).select("_stratum", "good", "_x", F.explode(grid).alias("g")).groupBy("_stratum", "g").agg(F.count_if(good).alias("fg"), F.count_if(good & hit).alias("fgr"), F.count_if(~good).alias("fb"), F.count_if(~good & hit).alias("fbr"))
+    useful = fit.filter(F.col("fbr") * F.col("fg") > F.col("fgr") * F.col("fb"))
+    place = F.row_number().over(Window.partitionBy("_stratum").orderBy((F.col("fgr") + 1) / (F.col("fbr") + 1), "g.s", F.desc("g.c")))  # the grid at most
+    sequence = cut(useful.select("_stratum", "g.s", "g.c", place.alias("at")))
+    known = sequence.groupBy("_stratum").agg(F.collect_list(F.struct("at", "s", "c")).alias("seq"))
+    first = F.array_min(F.transform(F.filter("seq", lambda g: F.get(F.col("_x"), g["s"]) > g["c"]), lambda g: g["at"]))
+    seen = rows.filter(good & hold).join(F.broadcast(known), "_stratum").groupBy("_stratum", first.alias("at")).agg(F.count("*").alias("m"))
+    total = seen.groupBy("_stratum").agg(F.sum("m").alias("n"))
+    so_far = Window.partitionBy("_stratum").orderBy("at")
+    tried = sequence.join(seen, ["_stratum", "at"], "left").join(total, "_stratum").withColumn("k", F.sum(F.coalesce("m", F.lit(0))).over(so_far))
+    ok = binomial_tail(F.col("k"), F.col("n"), alpha) <= delta / tests
+    passed = tried.withColumn("_ok", F.min(ok).over(so_far)).filter("_ok")
+    return passed.groupBy("_stratum").agg(*[F.min(F.when(F.col("s") == i, F.col("c"))).alias(s) for i, s in enumerate(GRIDS)])
 
 
 def judge(counts: DataFrame, cutoffs: DataFrame, stratum_col: str = "lang") -> DataFrame:

@@ -34,27 +34,30 @@ def quality(rows, labels, alpha=ALPHA):
         if q is not None:
             lab[d] = min(q, lab.get(d, q))
     all_counts = [(d, lang, *counts(t)) for d, lang, t in rows]
-    sums = defaultdict(lambda: [0] * 6)
-    most = Counter()
+    fit, hold = defaultdict(list), defaultdict(list)
     for d, lang, c, x in all_counts:
         if d in lab and not c["base_failed"]:
-            good, hold = lab[d] == 1, hashlib.md5(f"quality:{d}".encode()).hexdigest()[0] < "8"
-            most[lang] += good and hold
-            for s, cuts in enumerate(GRIDS.values()):
-                for cut in cuts:
-                    v, hit = sums[lang, s, cut], x[s] > cut
-                    if good and hold:
-                        v[0] += 1
-                        v[1] += hit
-                    elif not hold:
-                        v[2 if good else 4] += 1
-                        v[3 if good else 5] += hit
-    assert len(most) <= MAX_STRATA
-    tests = (len(most) + 1) * sum(map(len, GRIDS.values()))
+            in_hold = hashlib.md5(f"quality:{d}".encode()).hexdigest()[0] < "8"
+            fit[lang], hold[lang]  # noqa: B018  a stratum of its own, even if empty
+            (hold if in_hold else fit)[lang].append((lab[d] == 1, x))
+    strata = fit.keys() | hold.keys()
+    assert len(strata) <= MAX_STRATA
     best = {}
-    for (lang, s, cut), (n, k, fg, fgr, fb, fbr) in sums.items():
-        if fbr * fg > fgr * fb and k < n * alpha / len(GRIDS) and tail(k, n, alpha / len(GRIDS)) <= DELTA / tests:
-            best[lang, s] = min(cut, best.get((lang, s), cut))
+    for lang in strata:
+        order = []
+        for s, cuts in enumerate(GRIDS.values()):
+            for cut in cuts:
+                goods, bads = ([x[s] > cut for g, x in fit[lang] if g == want] for want in (True, False))
+                if sum(bads) * len(goods) > sum(goods) * len(bads):
+                    order.append(((sum(goods) + 1) / (sum(bads) + 1), s, -cut))
+        goods = [x for g, x in hold[lang] if g]
+        rule = []
+        for _, s, cut in sorted(order):
+            rule.append((s, -cut))
+            k, n = sum(any(x[i] > c for i, c in rule) for x in goods), len(goods)
+            if not (k < n * alpha and tail(k, n, alpha) <= DELTA / (len(strata) + 1)):
+                break
+            best[lang, s] = min(-cut, best.get((lang, s), -cut))
     hit = lambda lang, x: any((lang, s) in best and v > best[lang, s] for s, v in enumerate(x))
     return [(d, c, not c["base_failed"] and not hit(lang, x)) for d, lang, c, x in all_counts]
 
