@@ -37,15 +37,15 @@ rows AS (SELECT *, row_number() OVER () AS r, CASE WHEN own IN (FROM large) THEN
 fit AS (
   SELECT stratum, s, cut, count(*) FILTER (good) AS fg, count(*) FILTER (good AND x[s + 1] > cut) AS fgr, count(*) FILTER (NOT good) AS fb, count(*) FILTER (NOT good AND x[s + 1] > cut) AS fbr
   FROM rows, grid WHERE NOT hold GROUP BY stratum, s, cut),
-seq AS (SELECT stratum, s, cut, row_number() OVER (PARTITION BY stratum ORDER BY (fgr + 1) / (fbr + 1), s, cut DESC) AS at FROM fit WHERE fbr * fg > fgr * fb),
-seen AS (SELECT stratum, r, min(at) FILTER (x[s + 1] > cut) AS at FROM rows JOIN seq USING (stratum) WHERE good AND hold GROUP BY stratum, r),
+seq AS (SELECT stratum, s, cut, row_number() OVER (PARTITION BY stratum ORDER BY (fgr + 1) / (fbr + 1), s, cut DESC) AS pos FROM fit WHERE fbr * fg > fgr * fb),
+seen AS (SELECT stratum, r, min(pos) FILTER (x[s + 1] > cut) AS pos FROM rows JOIN seq USING (stratum) WHERE good AND hold GROUP BY stratum, r),
 tried AS (
-  SELECT stratum, s, cut, at, (SELECT count(*) FROM seen WHERE seen.stratum = seq.stratum) AS n, (SELECT count(*) FROM seen WHERE seen.stratum = seq.stratum AND seen.at <= seq.at) AS k FROM seq),
+  SELECT stratum, s, cut, pos, (SELECT count(*) FROM seen WHERE seen.stratum = seq.stratum) AS n, (SELECT count(*) FROM seen WHERE seen.stratum = seq.stratum AND seen.pos <= seq.pos) AS k FROM seq),
 tests AS (
   SELECT *, n > 0 AND k < n * {ALPHA} AND list_sum(list_transform(range(CAST(k AS BIGINT) + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({ALPHA}) + (n - i) * ln({1 - ALPHA}))))
       <= {DELTA} / ((SELECT count(*) FROM large) + 1) AS ok
   FROM tried),
-best AS (SELECT stratum, s, min(cut) AS cut FROM (SELECT *, bool_and(ok) OVER (PARTITION BY stratum ORDER BY at) AS passed FROM tests) WHERE passed GROUP BY stratum, s),
+best AS (SELECT stratum, s, min(cut) AS cut FROM (SELECT *, bool_and(ok) OVER (PARTITION BY stratum ORDER BY pos) AS passed FROM tests) WHERE passed GROUP BY stratum, s),
 hits AS (SELECT DISTINCT rid FROM f JOIN best ON stratum = CASE WHEN own IN (FROM large) THEN own ELSE 'other' END AND x[s + 1] > cut)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rid NOT IN (FROM hits) AS kept FROM f
 """
@@ -99,18 +99,33 @@ WITH u0 AS (SELECT page_id, coalesce(lower(regexp_extract(url, '(?s)^.*?://([^/?
 u1 AS (SELECT *, CASE {rules} END AS r, string_split(rtrim(substr(path, 2), '/'), '/') AS raw FROM u0),
 u AS (SELECT page_id, host, path, r, list_transform(CASE WHEN len(raw) > {depth + 1} THEN list_append(raw[1:{depth}], array_to_string(raw[{depth + 1}:], '/')) ELSE raw END, lambda x: {shape}) AS segs FROM u1),
 r0 AS (SELECT host, segs, '' AS template, count(*) AS n, count(*) FILTER (r IS NOT NULL) AS labelled, count(*) FILTER (r.verdict = 'block') AS bad FROM u GROUP BY host, segs)"""
+    u = url_filters
+
+    def differ(x: str, n: str, y: str, m: str) -> str:
+        pool = f"(({x} + {y}) / ({n} + {m}))"
+        return f"abs({x} / {n} - ({y}) / ({m})) > {u.Z} * sqrt({pool} * (1 - {pool}) * (1 / {n} + 1 / ({m})))"
+
     for k in range(depth + 1):
         out += rf""",
-s{k} AS (SELECT *, coalesce(segs[{k + 1}], '$') AS seg FROM r{k}),
-c{k} AS (SELECT host, template, seg, sum(n) AS n, sum(labelled) AS l, sum(bad) AS b, sum(sum(n)) OVER w AS an, sum(sum(labelled)) OVER w AS al, sum(sum(bad)) OVER w AS ab FROM s{k} GROUP BY host, template, seg WINDOW w AS (PARTITION BY host, template)),
+s{k} AS (SELECT *, coalesce(segs[{k + 1}], '$') AS seg, CASE WHEN segs[{k + 2}] IS NULL THEN n ELSE 0 END AS ends, CASE WHEN starts_with(segs[{k + 2}], '{{') THEN n ELSE 0 END AS shaped FROM r{k}),
+g{k} AS (SELECT host, template, seg, sum(n) AS n, sum(labelled) AS l, sum(bad) AS b, sum(ends) AS e, sum(shaped) AS g FROM s{k} GROUP BY host, template, seg),
+c{k} AS (
+  SELECT *, sum(n) OVER w AS an, sum(l) OVER w AS al, sum(b) OVER w AS ab, count(*) OVER w AS ac, coalesce(sum(n) FILTER (l = 0) OVER w, 0) AS un, coalesce(sum(e) FILTER (l = 0) OVER w, 0) AS ue, coalesce(sum(g) FILTER (l = 0) OVER w, 0) AS ug
+  FROM g{k} WINDOW w AS (PARTITION BY host, template)),
 k{k} AS (
-  SELECT host, template, seg FROM c{k}
-  WHERE n = an OR n >= {url_filters.MIN_CHILD} AND l > 0 AND al > l
-    AND abs(b / greatest(l, 1) - (ab - b) / greatest(al - l, 1)) > {url_filters.Z} * sqrt(ab / greatest(al, 1) * (1 - ab / greatest(al, 1)) * (1 / greatest(l, 1) + 1 / greatest(al - l, 1)))),
-r{k + 1} AS (SELECT host, segs, template || '/' || CASE WHEN (host, template, seg) IN (SELECT (host, template, seg) FROM k{k}) THEN seg ELSE '*' END AS template, n, labelled, bad FROM s{k})"""
+  SELECT host, template, seg, CASE
+    WHEN n = an THEN seg
+    WHEN l > 0 THEN CASE WHEN n >= {u.MIN_CHILD} AND al > l AND {differ("b", "l", "ab - b", "al - l")} THEN seg ELSE '*' END
+    WHEN ac >= {u.VARIABLE} AND an < {u.MIN_CHILD} * ac AND n < {u.MIN_CHILD} THEN '*'
+    WHEN un = n THEN seg
+    WHEN n >= {u.MIN_CHILD} AND ({differ("e", "n", "ue - e", "un - n")} OR {differ("g", "n", "ug - g", "un - n")}) THEN seg
+    ELSE '~' END AS name
+  FROM c{k}),
+r{k + 1} AS (SELECT host, segs, template || '/' || name AS template, n, labelled, bad FROM s{k} JOIN k{k} USING (host, template, seg))"""
     return out + rf""",
-per AS (SELECT host, template, sum(labelled) AS l, sum(bad) AS b, sum(sum(labelled)) OVER (PARTITION BY host) AS hl, sum(sum(bad)) OVER (PARTITION BY host) AS hb FROM r{depth + 1} GROUP BY host, template)
-SELECT page_id, u.host, path, r.rule AS rule, coalesce(r.verdict, CASE WHEN (b + {url_filters.PRIOR} * hb / greatest(hl, 1)) / (l + {url_filters.PRIOR}) >= {url_filters.REJECT} THEN 'block' ELSE 'allow' END) AS verdict, t.template
+per AS (SELECT host, template, sum(labelled) AS l, sum(bad) AS b FROM r{depth + 1} GROUP BY host, template),
+whole AS (SELECT coalesce(sum(b), 0) / greatest(coalesce(sum(l), 0), 1) AS share FROM per)
+SELECT page_id, u.host, path, r.rule AS rule, coalesce(r.verdict, CASE WHEN l >= {u.MIN_LABELS} AND (b + {u.PRIOR} * (SELECT share FROM whole)) / (l + {u.PRIOR}) >= {u.REJECT} THEN 'block' ELSE 'allow' END) AS verdict, t.template
 FROM u JOIN r{depth + 1} t ON u.host = t.host AND u.segs = t.segs JOIN per ON per.host = t.host AND per.template = t.template
 """
 

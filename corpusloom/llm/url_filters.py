@@ -1,10 +1,16 @@
 """URL filters: host and path rules, and a path-template tree for what the rules leave open.
 
 A url's path is a sequence of up to DEPTH segments, the rest is one more. Segments that are numbers, hexadecimal or mixed ids are
-generalised at once. Then, level by level and for each host, the children of a node that hold fewer than MIN_CHILD of its
-urls, or whose labelled share of bad urls doesn't differ from their siblings' by Z standard errors, are merged into
-a wildcard; the others keep branches of their own. Of each template that results the labelled urls give a smoothed purity,
-(bad + PRIOR * share) / (labelled + PRIOR) with share that of all labelled urls of the host; a template is rejected at REJECT or more.
+generalised at once. Then, level by level and for each host, the children of a node are merged where they are statistically similar:
+
+* a child with labelled urls becomes part of the wildcard * unless it has MIN_CHILD urls or more and its labelled share of bad urls differs from that of its siblings by Z standard errors;
+* a child without labels never joins labelled ones, but for those with fewer than MIN_CHILD urls at a variable segment (VARIABLE children or more, fewer than MIN_CHILD
+  urls each on average), which are part of *; others become part of ~ unless they have MIN_CHILD urls or more and their shares of urls that end there, or go on with a generalised segment,
+  differ from those of their siblings without labels;
+* an only child, and a child without labels that has no sibling without labels, is kept.
+
+Of each template that results the labelled urls give a smoothed purity, (bad + PRIOR * share) / (labelled + PRIOR) with share that of all labelled urls of the table. A template is rejected
+at REJECT or more if it has MIN_LABELS labelled urls of its own; one without evidence is allowed.
 
 Urls are first counted by host and generalised path, so that what follows has a row for each
 distinct path and not for each url; the children of one node meet only as sums. Urls without a host are one host, the empty one. Everything here is DataFrame operations.
@@ -19,7 +25,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import LOWER, UPPER, cut
 
-DEPTH, MIN_CHILD, Z, PRIOR, REJECT = 4, 5, 1.96, 2.0, 0.8
+DEPTH, MIN_CHILD, VARIABLE, Z, PRIOR, REJECT, MIN_LABELS = 4, 5, 8, 1.96, 2.0, 0.8, 5
 #: (block or allow, host, path prefix)
 RULES = (("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/"))
 #: What a segment is generalised to, by the first pattern that fits the whole of it.
@@ -56,24 +62,30 @@ def segments(path: Column) -> Column:
     return F.transform(F.split(F.rtrim(F.substr(path, F.lit(2)), F.lit("/")), "/", DEPTH + 1), general)
 
 
+def _differ(x: Column, n: Column, y: Column, m: Column) -> Column:
+    """Whether x of n and y of m are shares that differ by over Z standard errors. Both n and m are 1 or more."""
+    pool = (x + y) / (n + m)
+    return F.abs(x / n - y / m) > Z * F.sqrt(pool * (1 - pool) * (1 / n + 1 / m))
+
+
 def templates(urls: DataFrame) -> DataFrame:
     """urls: host, segs, n, labelled, bad (sums over the urls of a generalised path). Adds template, the branch it is in."""
     rows = urls.withColumn("template", F.lit(""))
-    sums = ("n", "labelled", "bad")
+    c = F.col
     for level in range(DEPTH + 1):
-        seg = F.coalesce(F.get("segs", F.lit(level)), F.lit("$"))
-        rows = cut(rows.withColumn("_seg", seg))
-        child = rows.groupBy("host", "template", "_seg").agg(*[F.sum(c).alias(c) for c in sums])
-        node = child.groupBy("host", "template").agg(*[F.sum(c).alias(f"all_{c}") for c in sums])
-        other = F.col("all_labelled") - F.col("labelled")
-        p, q = F.col("bad") / F.greatest(F.col("labelled"), F.lit(1)), (F.col("all_bad") - F.col("bad")) / F.greatest(other, F.lit(1))
-        pool = F.col("all_bad") / F.greatest(F.col("all_labelled"), F.lit(1))
-        error = F.sqrt(pool * (1 - pool) * (1 / F.greatest(F.col("labelled"), F.lit(1)) + 1 / F.greatest(other, F.lit(1))))
-        apart = (F.col("n") >= MIN_CHILD) & (F.col("labelled") > 0) & (other > 0) & (F.abs(p - q) > Z * error)
-        only = F.col("n") == F.col("all_n")
-        kept = child.join(node, ["host", "template"]).filter(apart | only).select("host", "template", "_seg", F.lit(True).alias("_own"))
-        rows = rows.join(kept, ["host", "template", "_seg"], "left")
-        rows = rows.withColumn("template", F.concat("template", F.lit("/"), F.when(F.col("_own"), F.col("_seg")).otherwise(F.lit("*")))).drop("_seg", "_own")
+        after = F.get("segs", F.lit(level + 1))
+        rows = cut(rows.withColumns({"_seg": F.coalesce(F.get("segs", F.lit(level)), F.lit("$")), "_e": F.when(after.isNull(), c("n")).otherwise(0), "_g": F.when(F.startswith(after, F.lit("{")), c("n")).otherwise(0)}))
+        child = rows.groupBy("host", "template", "_seg").agg(F.sum("n").alias("cn"), F.sum("labelled").alias("l"), F.sum("bad").alias("b"), F.sum("_e").alias("e"), F.sum("_g").alias("g"))
+        bare = lambda x: F.sum(F.when(c("l") == 0, c(x)).otherwise(0))
+        node = child.groupBy("host", "template").agg(F.sum("cn").alias("an"), F.sum("l").alias("al"), F.sum("b").alias("ab"), F.count("*").alias("ac"), bare("cn").alias("un"), bare("e").alias("ue"), bare("g").alias("ug"))
+        enough = c("cn") >= MIN_CHILD
+        own = enough & (c("al") > c("l")) & _differ(c("b"), c("l"), c("ab") - c("b"), c("al") - c("l"))
+        others = c("un") - c("cn")
+        odd = enough & (_differ(c("e"), c("cn"), c("ue") - c("e"), others) | _differ(c("g"), c("cn"), c("ug") - c("g"), others))
+        variable = (c("ac") >= VARIABLE) & (c("an") < MIN_CHILD * c("ac")) & ~enough
+        name = F.when(c("cn") == c("an"), c("_seg")).when(c("l") > 0, F.when(own, c("_seg")).otherwise("*")).when(variable, "*").when(others == 0, c("_seg")).when(odd, c("_seg")).otherwise("~")
+        named = child.join(node, ["host", "template"]).select("host", "template", "_seg", name.alias("_name"))
+        rows = rows.join(named, ["host", "template", "_seg"]).withColumn("template", F.concat("template", F.lit("/"), "_name")).drop("_seg", "_name", "_e", "_g")
     return rows
 
 
@@ -85,11 +97,10 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> Da
     known = F.col("_r").isNotNull()
     by = urls.groupBy("host", "segs").agg(F.count("*").alias("n"), F.count_if(known).alias("labelled"), F.count_if(known & (F.col("_r.verdict") == "block")).alias("bad"))
     tree = cut(templates(by))
-    per = tree.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
-    whole = per.groupBy("host").agg(F.sum("labelled").alias("hl"), F.sum("bad").alias("hb"))
-    share = F.col("hb") / F.greatest(F.col("hl"), F.lit(1))
-    purity = (F.col("bad") + PRIOR * share) / (F.col("labelled") + PRIOR)
-    bad = per.join(whole, "host").select("host", "template", (purity >= REJECT).alias("_bad"))
+    per = cut(tree.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")))
+    bad_ones, labelled = per.agg(F.coalesce(F.sum("bad"), F.lit(0)), F.coalesce(F.sum("labelled"), F.lit(0))).first()
+    purity = (F.col("bad") + PRIOR * bad_ones / max(labelled, 1)) / (F.col("labelled") + PRIOR)
+    bad = per.select("host", "template", ((F.col("labelled") >= MIN_LABELS) & (purity >= REJECT)).alias("_bad"))
     leaves = tree.join(bad, ["host", "template"]).select("host", "segs", "template", "_bad")
     out = urls.join(leaves, ["host", "segs"])
     verdict = F.coalesce(F.col("_r.verdict"), F.when(F.col("_bad"), F.lit("block")).otherwise(F.lit("allow")))

@@ -5,7 +5,7 @@ import corpus_pipeline
 import pytest
 from test_simhash import DOCS, WORD
 
-from corpusloom.llm import similar
+from corpusloom.llm import simhash, similar
 
 
 def shingles(text, size=5):
@@ -71,3 +71,19 @@ def test_stage_finds_edited_copies(spark):
     assert len(shingles(near) & shingles(docs.first().text)) / len(shingles(near) | shingles(docs.first().text)) >= 0.8
     assert sorted(r.doc_id or 0 for r in corpus_pipeline.near_dedup(spark, docs, "").collect()) == [0, 1, 3]
     assert corpus_pipeline.near_dedup(spark, docs.limit(0), "").count() == 0
+
+
+def test_texts_under_one_id_and_repeated_rows(spark):
+    """Unlike texts under one id both stay, of like ones and of equal rows one."""
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(3000)}" for _ in range(100)]
+    other, near = [f"v{rng.randrange(3000)}" for _ in range(100)], edited(rng, base, 1)
+    rows = [(1, " ".join(base)), (1, " ".join(other)), (1, near), (2, near), (2, near), (3, " ".join(other)), (4, None), (5, ""), (None, near)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for module in (similar, simhash):
+        kept = [(r.doc_id, r.text) for r in module.one_of_each(docs).collect()]
+        of_one = [t for i, t in kept if i == 1]
+        assert " ".join(other) in of_one and (4, None) in kept and (None, near) in kept
+        assert len(kept) == (4 if module is similar else len(set(kept))) and not {3, 5} & {i for i, _ in kept}
+    got = [(r.doc_id, r.text) for r in similar.one_of_each(docs).collect()]
+    assert len([t for i, t in got if i == 1]) == 2 and 2 not in {i for i, _ in got}
