@@ -331,20 +331,14 @@ def encode_documents(docs: DataFrame, model_path: str, dropout: float = DROPOUT,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model_path, dropout, seed)
         for batch in batches:
-            keys, texts = batch.column(1).to_pylist(), batch.column(2)
-            n_bytes = batch.column(3).to_pylist()
-            ids, sizes, same = [], [0], []
-            for rows in byte_groups(n_bytes, GROUP_BYTES):
-                part = texts.slice(rows.start, len(rows)).to_pylist()
-                for text, got in zip(part, own.encode_batch(part, keys[rows.start : rows.stop]), strict=True):
-                    ids.append(got)
-                    sizes.append(sizes[-1] + len(got))
-                    same.append(own.decode(got) == text)
-            flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat, pa.int32()))
-            counts = np.diff(sizes)
-            columns = [batch.column(0), pa.array(n_bytes, pa.int64()), pa.array(counts, pa.int64()), pa.array(same, pa.bool_()), lists]
-            yield pa.RecordBatch.from_arrays(columns, [id_col, "n_bytes", "n_pieces", "lossless", "ids"])
+            for rows in byte_groups(batch.column(3).to_pylist(), GROUP_BYTES):
+                part = batch.slice(rows.start, len(rows))
+                texts = part.column(2).to_pylist()
+                ids = own.encode_batch(texts, part.column(1).to_pylist())
+                same = [own.decode(got) == text for text, got in zip(texts, ids, strict=True)]
+                counts = np.array([len(x) for x in ids], np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(np.concatenate(ids), pa.int32()))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(3), pa.array(counts), pa.array(same, pa.bool_()), lists], [id_col, "n_bytes", "n_pieces", "lossless", "ids"])
 
     key = F.xxhash64(F.col(id_col).cast("string"))
     text = F.coalesce(F.col(text_col), F.lit(""))

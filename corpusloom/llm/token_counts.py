@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import byte_groups
 
 GROUP_BYTES = 1 << 20
-CACHE_ENTRIES = 600_000
+#: Kept are pieces of at most CACHE_CHARS characters, CACHE_ENTRIES at most: some 100 MB whatever the texts.
+CACHE_ENTRIES, CACHE_CHARS = 600_000, 64
 _UNSAFE = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S)(?= )")
 
@@ -50,7 +51,7 @@ def _tokenizer(path: str):
 
 
 class PieceCounter:
-    """Token counts of texts; keeps the lengths of at most CACHE_ENTRIES pieces."""
+    """Token counts of texts; keeps the lengths of at most CACHE_ENTRIES short pieces."""
 
     def __init__(self, path: str):
         self.encode = _tokenizer(path).encode_batch_fast
@@ -61,9 +62,13 @@ class PieceCounter:
             self.known = {}
         known, pieces = self.known, [safe_pieces(x) for x in texts]
         new = list(set().union(*pieces).difference(known))
+        long = {}
         for rows in byte_groups([len(p) for p in new], GROUP_BYTES):
             part = new[rows.start : rows.stop]
-            known.update(zip(part, map(len, self.encode(part, add_special_tokens=False)), strict=True))
+            for piece, n in zip(part, map(len, self.encode(part, add_special_tokens=False)), strict=True):
+                (known if len(piece) <= CACHE_CHARS else long)[piece] = n
+        if long:
+            return [sum(long[p] if p in long else known[p] for p in ps) for ps in pieces]
         get = known.__getitem__
         return [sum(map(get, ps)) for ps in pieces]
 
@@ -76,13 +81,10 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 1024, id_col
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = PieceCounter(tokenizer_path)
         for batch in batches:
-            texts = batch.column(1)
-            sizes = batch.column(2).to_pylist()
-            n: list[int] = []
-            for rows in byte_groups(sizes, GROUP_BYTES):
-                n += counter.counts(texts.slice(rows.start, len(rows)).to_pylist())
-            tokens = pa.array(n, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), tokens, pa.array([x > limit for x in n], pa.bool_())], [id_col, "n_bytes", "n_tokens", "over_limit"])
+            for rows in byte_groups(batch.column(2).to_pylist(), GROUP_BYTES):
+                part = batch.slice(rows.start, len(rows))
+                n = counter.counts(part.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())], [id_col, "n_bytes", "n_tokens", "over_limit"])
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(F.col(id_col), text.alias("_text"), F.octet_length(text).cast("long").alias("_bytes")).mapInArrow(run, f"`{id_col}` {id_type}, n_bytes long, n_tokens long, over_limit boolean")

@@ -115,7 +115,7 @@ class _Source:
     """Bytes of one record: plain, or a gzip member that is decompressed as far as it is asked for."""
 
     def __init__(self, f: io.BufferedReader, gz: bool):
-        self.f, self.at, self.length, self.unpack, self.buffer = f, f.tell(), 0, None, b""
+        self.f, self.at, self.length, self.unpack, self.buffer = f, f.tell(), 0, None, bytearray()
         if gz:
             head = f.read(24)
             if head[3:4] == b"\x04" and head[12:14] == b"sl":
@@ -136,6 +136,7 @@ class _Source:
     def until(self, mark: bytes, start: int = 0) -> int:
         """Position behind the mark, or -1."""
         while (i := self.buffer.find(mark, start)) < 0:
+            start = max(start, len(self.buffer) - len(mark) + 1)
             if not self.more():
                 return -1
         return i + len(mark)
@@ -143,7 +144,7 @@ class _Source:
     def take(self, start: int, end: int) -> bytes:
         while len(self.buffer) < end and self.more(max(CHUNK, 1 << 16)):
             pass
-        return self.buffer[start:end]
+        return bytes(self.buffer[start:end])
 
     def leave(self, end: int) -> None:
         """Moves on to the next record; end is where this one ends, decompressed."""
