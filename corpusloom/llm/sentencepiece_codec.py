@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import byte_groups
 
-DROPOUT, SEED, CACHE_ENTRIES = 0.1, 42, 600_000
+DROPOUT, SEED, CACHE_ENTRIES, STORE_IDS = 0.1, 42, 600_000, 1 << 23
 #: Drawings of a unit that the tests hold against each other.
 VARIANTS = 4
 GROUP_BYTES = 1 << 20
@@ -94,7 +94,22 @@ class Codec:
         """Empties what is looked up: units by number, their hashes and lengths, and pieces by number and mask."""
         self.number: dict[str, int] = {}
         self.unit_hash, self.unit_length = np.empty(0, np.uint64), np.empty(0, np.int64)
-        self.known: dict[tuple[int, int], bytes] = {}
+        #: number of what is stored for a unit without a skip, by the unit's number, and for one with a mask
+        self.whole, self.known = np.empty(0, np.int64), {}
+        self.store, self.filled = np.empty(1 << 16, np.int32), 0
+        self.store_start, self.store_length = np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def _keep(self, encoded: list[bytes]) -> np.ndarray:
+        """Stores encodings and gives their numbers."""
+        flat, lengths = np.frombuffer(b"".join(encoded), np.int32), np.array([len(x) for x in encoded], np.int64) >> 2
+        if self.filled + len(flat) > len(self.store):
+            self.store = np.concatenate([self.store[: self.filled], np.empty(self.filled + 2 * len(flat), np.int32)])
+        self.store[self.filled : self.filled + len(flat)] = flat
+        first = len(self.store_start)
+        self.store_start = np.append(self.store_start, self.filled + np.cumsum(lengths) - lengths)
+        self.store_length = np.append(self.store_length, lengths)
+        self.filled += len(flat)
+        return np.arange(first, first + len(encoded))
 
     def _tables(self) -> None:
         """For the agendas of many units at once: symbols are numbers, and a hash table has the rank of each pair that makes a piece."""
@@ -178,7 +193,8 @@ class Codec:
 
     def _encode_units(self, units: list[str], bases: list[int], masks: list[int] | None = None) -> list[bytes]:
         out: list[bytes] = [b""] * len(units)
-        short = sorted((k for k, u in enumerate(units) if len(u) <= _SHORT), key=lambda k: len(units[k]))
+        sizes = np.array([len(u) for u in units], np.int64)
+        short = [k for k in np.argsort(sizes, kind="stable").tolist() if sizes[k] <= _SHORT]
         for start in range(0, len(short), 4096):
             part = short[start : start + 4096]
             found = self._many([units[k] for k in part], [bases[k] for k in part] if masks is None else [], masks and [masks[k] for k in part])
@@ -275,37 +291,46 @@ class Codec:
 
     def encode_batch(self, texts: list[str], keys: list[int]) -> list[np.ndarray]:
         """ids of each text; its key varies what is skipped."""
-        if len(self.known) + len(self.number) > CACHE_ENTRIES:
+        if len(self.known) + len(self.number) > CACHE_ENTRIES or self.filled > STORE_IDS:
             self._forget()
         lists = [self.units(f" {x}") if x else [] for x in texts]
         flat = [u for units in lists for u in units]
         number = self.number
-        if new := sorted(set(flat).difference(number)):
+        if new := list(set(flat).difference(number)):
             number.update(zip(new, range(len(number), len(number) + len(new)), strict=True))
             self.unit_hash = np.append(self.unit_hash, np.array([xxhash.xxh64_intdigest(u) for u in new], np.uint64))
             self.unit_length = np.append(self.unit_length, np.array([len(u) for u in new], np.int64))
+            self.whole = np.append(self.whole, np.full(len(new), -1, np.int64))
         n = np.array([len(units) for units in lists], np.int64)
         ends = np.cumsum(n)
-        at = np.array([number[u] for u in flat], np.int64)
+        at = np.array(list(map(number.__getitem__, flat)), np.int64)
         places = (np.arange(len(flat)) - np.repeat(ends - n, n)).astype(np.uint64)
         base, masks = self._draw(at, np.repeat(np.array([k & (1 << 64) - 1 for k in keys], np.uint64), n), places)
-        codes = list(zip(at.tolist(), masks.tolist(), strict=True))
-        known = self.known
-        if self.limit:
-            far = np.flatnonzero(self.unit_length[at] > _MASKED).tolist()  # too many candidates for a mask: each on its own, in this batch only
-            for k in far:
-                codes[k] = (-1, k)
-            own = dict(zip([codes[k] for k in far], self._encode_units([flat[k] for k in far], [int(base[k]) & 0xFFFFFFFF for k in far]), strict=True))
-        else:
-            own = {}
-        where = {c: k for k, c in enumerate(codes) if c not in known and c[0] >= 0}
-        units = [flat[k] for k in where.values()]
-        if self.limit:
-            known.update(zip(where, self._encode_units(units, [], [c[1] for c in where]), strict=True))
-        else:
-            known.update(zip(where, self._encode_units(units, [0] * len(units)), strict=True))
-        parts = [known[c] if c[0] >= 0 else own[c] for c in codes] if own else list(map(known.__getitem__, codes))
-        return [np.frombuffer(b"".join(parts[e - m : e]), np.int32) for e, m in zip(ends.tolist(), n.tolist(), strict=True)]
+        stored = np.full(len(flat), -1, np.int64)
+        far = self.unit_length[at] > _MASKED if self.limit else np.zeros(len(flat), bool)  # too many candidates for a mask: each on its own
+        plain = np.flatnonzero((masks == 0) & ~far)
+        todo = np.unique(at[plain])
+        todo = todo[self.whole[todo] < 0]
+        if len(todo):
+            first = np.empty(len(number), np.int64)
+            first[at[plain]] = plain  # some occurrence of each
+            units = [flat[k] for k in first[todo].tolist()]
+            self.whole[todo] = self._keep(self._encode_units(units, [], [0] * len(units)) if self.limit else self._encode_units(units, [0] * len(units)))
+        stored[plain] = self.whole[at[plain]]
+        some = np.flatnonzero((masks != 0) & ~far)
+        codes, known = list(zip(at[some].tolist(), masks[some].tolist(), strict=True)), self.known
+        where = {c: k for c, k in zip(codes, some.tolist(), strict=True) if c not in known}
+        if where:
+            known.update(zip(where, self._keep(self._encode_units([flat[k] for k in where.values()], [], [c[1] for c in where])).tolist(), strict=True))
+        stored[some] = np.array(list(map(known.__getitem__, codes)), np.int64)
+        lone = np.flatnonzero(far).tolist()
+        if lone:
+            stored[far] = self._keep(self._encode_units([flat[k] for k in lone], [int(base[k]) & 0xFFFFFFFF for k in lone]))
+        lengths = self.store_length[stored]
+        out_ends = np.cumsum(lengths)
+        ids = self.store[np.repeat(self.store_start[stored] - (out_ends - lengths), lengths) + np.arange(int(lengths.sum()))]
+        cuts = np.concatenate([[0], out_ends])[ends]
+        return np.split(ids, cuts[:-1]) if len(cuts) else []
 
     def encode(self, text: str, key: int = 0) -> np.ndarray:
         return self.encode_batch([text], [key])[0]
