@@ -144,9 +144,8 @@ class Codec:
     def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return self.pair_ranks[self._slot(a, b)]
 
-    def _many(self, units: list[str], bases: list[int], masks: list[int] | None = None) -> list[bytes | None]:
-        """encode_unit of many units of up to _SHORT characters, one candidate of each at a time; None for those with signs that have no number. With masks these say what is skipped."""
-        n = np.array([len(u) for u in units])
+    def _many(self, units: list[str], n: np.ndarray, bases: list[int], masks: list[int] | None = None) -> list[bytes | None]:
+        """encode_unit of many units of n, up to _SHORT, characters, one candidate of each at a time; None for those with signs that have no number. With masks these say what is skipped."""
         chars = self.of_char[np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)]
         width, rows = int(n.max()), np.repeat(np.arange(len(units)), n)
         sym = np.full((len(units), width + 1), self.symbols, np.int64)
@@ -197,12 +196,11 @@ class Codec:
         short = [k for k in np.argsort(sizes, kind="stable").tolist() if sizes[k] <= _SHORT]
         for start in range(0, len(short), 4096):
             part = short[start : start + 4096]
-            found = self._many([units[k] for k in part], [bases[k] for k in part] if masks is None else [], masks and [masks[k] for k in part])
+            found = self._many([units[k] for k in part], sizes[part], [bases[k] for k in part] if masks is None else [], masks and [masks[k] for k in part])
             for k, got in zip(part, found, strict=True):
                 out[k] = self._ids(units[k], *((bases[k], None) if masks is None else (0, masks[k]))) if got is None else got
-        for k, u in enumerate(units):
-            if len(u) > _SHORT:
-                out[k] = self._ids(u, bases[k])
+        for k in np.flatnonzero(sizes > _SHORT).tolist():
+            out[k] = self._ids(units[k], bases[k])
         return out
 
     def _base(self, unit: str, variant: int) -> int:
