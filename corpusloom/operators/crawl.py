@@ -66,7 +66,7 @@ def allowed(url: Column, disallow: Column) -> Column:
 
 
 def crawl(pages: DataFrame, seeds: DataFrame, cfg: Crawl, robots: DataFrame | None = None) -> DataFrame:
-    """Breadth-first over a closed table of pages (url, html) from seeds (url): url, depth, outcome (fetched, fetch_failed, url_excluded, robots_disallowed, host_cap).
+    """Breadth-first over a closed table of pages (url, html) from seeds (url): url, depth, outcome (fetched, fetch_failed, url_excluded, robots_disallowed, host_cap, page_cap).
 
     Links stay on the hosts of the seeds. robots: host, disallow. A level is what the one before links to and no level had. The caps on pages of a host and
     in all are the settings' own and count in order of depth, then url."""
@@ -98,6 +98,7 @@ def crawl(pages: DataFrame, seeds: DataFrame, cfg: Crawl, robots: DataFrame | No
     fine = rows.filter("outcome IS NULL").drop("outcome")
     place = F.row_number().over(Window.partitionBy("host").orderBy("depth", "url"))
     under = cut(fine.withColumn("_place", place).filter(F.col("_place") <= cfg.per_host_concurrency * HOST_FACTOR).drop("_place"))  # cut to the cap before the shuffle
-    kept = under.orderBy("depth", "url").limit(cfg.max_pages).withColumn("outcome", F.lit("fetched"))
+    kept = cut(under.orderBy("depth", "url").limit(cfg.max_pages).withColumn("outcome", F.lit("fetched")))
+    beyond = under.join(kept.select("url"), "url", "left_anti").withColumn("outcome", F.lit("page_cap"))
     over = fine.join(under.select("url"), "url", "left_anti").withColumn("outcome", F.lit("host_cap"))
-    return kept.unionByName(over).unionByName(rows.filter("outcome IS NOT NULL")).drop("host")
+    return kept.unionByName(over).unionByName(beyond).unionByName(rows.filter("outcome IS NOT NULL")).drop("host")

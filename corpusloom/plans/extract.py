@@ -18,8 +18,8 @@ def extract(raw: DataFrame, backend: Callable[[Column], Column] | None = None, n
     cols = raw.columns
     col = lambda c: F.col(c) if c in cols else F.lit(None).cast("string")
     page = F.coalesce(*[F.col(c) for c in ("html", "content") if c in cols])
-    rows = raw.withColumn("_html", page).withColumn("_x", (backend or html.html_text)(F.coalesce(page, F.lit(""))))
     is_pdf = F.contains(F.lower(F.coalesce(col("content_type"), F.lit(""))), F.lit("pdf")) | (F.coalesce(col("pdf_path"), F.lit("")) != "")
+    rows = raw.withColumn("_html", page).withColumn("_x", (backend or html.html_text)(F.when(is_pdf, "").otherwise(F.coalesce(page, F.lit("")))))
     has_html = tx.strip(F.coalesce("_html", F.lit(""))) != ""
     pdf_text = pdf(col("pdf_path")) if pdf is not None else F.lit(None).cast("string")
     text = F.when(is_pdf, pdf_text).otherwise(F.col("_x.text"))

@@ -29,10 +29,11 @@ def _numbered(rows: DataFrame) -> DataFrame:
 
 
 class Runner:
-    """now: the time that stands for unreadable ones, so that a run can be repeated exactly."""
+    """now: the time that stands for unreadable ones, so that a run can be repeated exactly. backend, pdf: extractors of extract(), scorer: that of clean().
+    Raw and extracted tiers count and drop malformed lines; the later stages read what a stage wrote and fail on them."""
 
-    def __init__(self, spark: SparkSession, settings: Settings | None = None, now: Column | None = None, scorer=None):
-        self.spark, self.s, self.now, self.scorer = spark, settings or Settings(), now, scorer
+    def __init__(self, spark: SparkSession, settings: Settings | None = None, now: Column | None = None, scorer=None, backend=None, pdf=None):
+        self.spark, self.s, self.now, self.scorer, self.backend, self.pdf = spark, settings or Settings(), now, scorer, backend, pdf
         self.metrics: list[dict] = []
 
     def _stage(self, name: str, source: str, target: str, work: Callable[[], tuple[DataFrame, DataFrame]]) -> dict:
@@ -50,7 +51,10 @@ class Runner:
     def extract(self, source: str, target: str) -> dict:
         def work():
             raw = records.read_jsonl(self.spark, source, RAW)
-            rows = Scratch(self.spark).cut(extract(raw))
+            if records.exists(self.spark, source):  # pages as files, of which sidecars are no records
+                raw = raw.filter(~F.endswith(F.input_file_name(), F.lit(".meta.json")))
+                raw = raw.unionByName(records.read_html(self.spark, source).withColumn("bad_json", F.lit(False)), allowMissingColumns=True)
+            rows = Scratch(self.spark).cut(extract(raw, self.backend, pdf=self.pdf))
             reason = F.when(F.col("bad_json"), "bad_json").otherwise(F.col("drop_reason"))
             return rows.filter("NOT bad_json AND drop_reason IS NULL").select("id", "text", "source_url", "crawl_ts", "license", "extractor", "title"), rows.select(reason.alias("drop_reason"))
 
@@ -68,7 +72,7 @@ class Runner:
 
     def build(self, source: str, target: str) -> dict:
         def work():
-            gated = sft.gate(records.read_jsonl(self.spark, source, CLEAN).drop("bad_json"))
+            gated = sft.gate(records.read_jsonl(self.spark, source, CLEAN, strict=True).drop("bad_json"))
             lines = sft.serialize(gated.filter("drop_reason IS NULL"), self.s.build.format)
             return lines.select(F.from_json("record", self._line_schema()).alias("r")).select("r.*"), gated.select("drop_reason")
 
@@ -79,7 +83,7 @@ class Runner:
         return f"{body}, meta struct<id:string,lang:string,{PROV.removeprefix('struct<')}"
 
     def profile(self, source: str, target: str) -> None:
-        rows = records.read_jsonl(self.spark, source, CLEAN)
+        rows = records.read_jsonl(self.spark, source, CLEAN, strict=True)
         f = Scratch(self.spark).cut(profile.facts(rows.select(F.xxhash64("id").alias("seq"), "text", "lang", "pii_found", F.col("prov.license").alias("license"), F.col("prov.source_url").alias("source_url"))))
         stats = profile.length_stats(f).select(F.lit("length_stats").alias("metric"), F.to_json(F.struct("*")).alias("key"), F.col("n_docs").alias("n"))
         told = profile.suggestions(f).select(F.concat(F.lit("suggestion:"), "kind").alias("metric"), "key", "n")
@@ -87,7 +91,7 @@ class Runner:
         records.write_jsonl(profile.distributions(f).unionByName(pii).unionByName(stats).unionByName(told), target)
 
     def integrate(self, base: str, new: str, target: str) -> None:
-        both = records.label_sources(records.read_jsonl(self.spark, base, DATASET), records.read_jsonl(self.spark, new, DATASET), self.s.integrate.source_priority).drop("bad_json")
+        both = records.label_sources(records.read_jsonl(self.spark, base, DATASET, strict=True), records.read_jsonl(self.spark, new, DATASET, strict=True), self.s.integrate.source_priority).drop("bad_json")
         rows = Scratch(self.spark).cut(_numbered(both))
         out, manifest = integrate(rows, self.s)
         records.write_jsonl(out.drop("seq", "_source"), target)

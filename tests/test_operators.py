@@ -167,6 +167,8 @@ def test_robots_sitemap_and_crawl(spark):
     assert got == {"/": (0, "fetched"), "/1": (1, "fetched"), "/no/1": (1, "robots_disallowed"), "/x": (1, "url_excluded"), "/2": (2, "fetched")}
     capped = [r.outcome for r in crawl.crawl(df, seeds, replace(S.crawl, max_depth=6, per_host_concurrency=0)).collect()]
     assert set(capped) == {"host_cap"}
+    few = [r.outcome for r in crawl.crawl(df, seeds, replace(S.crawl, max_depth=6, max_pages=1)).collect()]
+    assert few.count("fetched") == 1 and few.count("page_cap") > 0 and len(few) == len(crawl.crawl(df, seeds, replace(S.crawl, max_depth=6)).collect())
     for bad in (replace(S.crawl, respect_robots=False), replace(S.crawl, render="browser")):
         with pytest.raises(ValueError):
             crawl.crawl(df, seeds, bad)

@@ -1,6 +1,7 @@
 import json
 
 import helpers as h
+import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.__main__ import main
@@ -42,3 +43,26 @@ def test_command_line_takes_missing_folders(spark, tmp_path):
     for stage in ("extract", "clean", "profile", "build"):
         assert main([stage, "--in", f"file://{tmp_path}/none", "--out", f"file://{tmp_path}/{stage}"]) == 0
         assert (tmp_path / stage / "_SUCCESS").exists()
+
+
+def test_pages_as_files_and_malformed_lines_of_later_stages(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "page.html").write_text(PAGE.format(h.EN))
+    (raw / "page.meta.json").write_text(json.dumps({"source_url": "https://a.example/9", "license": "cc-by"}))
+    runner = Runner(spark, Settings(), F.lit("2026-01-01").cast("timestamp"))
+    got = runner.extract(f"file://{raw}", f"file://{tmp_path}/extracted")
+    assert (got["seen"], got["kept"]) == (1, 1)
+    row = lines(tmp_path / "extracted")[0]
+    assert row["source_url"] == "https://a.example/9" and row["license"] == "cc-by" and h.EN[:40] in row["text"]
+    # another extractor can be given
+    own = Runner(spark, Settings(), backend=lambda x: F.struct(F.lit("own words").alias("text"), F.lit(None).cast("string").alias("title")))
+    own.extract(f"file://{raw}", f"file://{tmp_path}/own")
+    assert lines(tmp_path / "own")[0]["text"] == "own words"
+    broken = tmp_path / "clean"
+    broken.mkdir()
+    (broken / "a.jsonl").write_text('{"id": "1", "text": "x"}\n{broken\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        runner.build(f"file://{broken}", f"file://{tmp_path}/dataset")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        runner.integrate(f"file://{broken}", f"file://{broken}", f"file://{tmp_path}/mixed")
