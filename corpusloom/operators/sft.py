@@ -79,8 +79,10 @@ def json_object(raw: str) -> dict:
     return out
 
 
-def synthesize(records: DataFrame, llm: Callable[[list[dict]], str], model: str, questions: int = 2, max_chars: int = 4000, attempts: int = 2) -> DataFrame:
-    """id, n, question, answer, drop_reason: up to `questions` pairs for each record (id, text), or synth_failed. llm takes messages and gives a reply."""
+def synthesize(records: DataFrame, llm: Callable[[list[dict]], str], model: str, questions: int = 2, max_chars: int | None = 4000, attempts: int = 2) -> DataFrame:
+    """id, n, question, answer, drop_reason: up to `questions` pairs for each record (id, text), or synth_failed. llm takes messages and gives a reply.
+
+    It is shown the first max_chars characters of a text, all of it with None."""
     ask = f'Write {questions} questions with answers, in the language of the passage and from it alone. Reply with one JSON object: {{"pairs": [{{"question": "...", "answer": "..."}}]}}'
 
     def pairs(text: str) -> list[tuple[str, str]]:

@@ -199,11 +199,14 @@ SQL: dict[str, str] = {
     "robots_rules": "SELECT page_id, CAST(page_id AS DOUBLE) AS crawl_delay, least(greatest(1.0, CAST(page_id AS DOUBLE)), 30.0) AS delay, url AS sitemaps, '/en/' AS disallow, NOT starts_with(regexp_extract(url, '^[a-z]+://[^/?#]*([^#]*)', 1), '/en/') AS allowed FROM pages",
     "sitemap_urls": f"SELECT page_id, CAST(0 AS BIGINT) AS pos, url AS loc FROM pages UNION ALL SELECT page_id, 1, {HOST.format('url')} FROM pages",
     "source_profiles": f"SELECT url, CASE WHEN {_root} AND {_scripts} >= 3 AND {_taglen} < 500 OR {_taglen} < 200 AND {_scripts} >= 5 THEN 'browser' ELSE 'http' END AS render, CAST(2 AS DOUBLE) AS crawl_delay, CASE {_lic} ELSE 'unknown' END AS license, 'text/html' AS content_type, 'https://a.example/' AS seed_urls, '/x' AS disallow, true AS fetched FROM pages",
-    "crawl_frontier": "WITH RECURSIVE s(k, depth) AS (SELECT CAST(0 AS BIGINT), 0 UNION ALL SELECT unnest([2 * k + 1, 2 * k + 2]), depth + 1 FROM s WHERE depth < 6 AND k IN (SELECT page_id FROM pages) AND k % 20 <> 5) SELECT 'https://site.example/' || (k % 20) || '/' || k AS url, depth, CASE WHEN k % 20 = 5 THEN 'url_excluded' WHEN k % 20 = 7 THEN 'robots_disallowed' WHEN k NOT IN (SELECT page_id FROM pages) THEN 'fetch_failed' ELSE 'fetched' END AS outcome FROM s",
+    "crawl_frontier": "WITH RECURSIVE s(k, depth) AS (SELECT page_id, 0 FROM pages WHERE page_id % 64 = 0 UNION ALL SELECT k - k % 64 + unnest(range(4 * (k % 64) + 1, least(4 * (k % 64) + 5, 64))), depth + 1 FROM s WHERE depth < 6 AND k IN (SELECT page_id FROM pages) AND k % 20 <> 5), "
+    "u AS (SELECT depth, CASE k // 64 % 2 WHEN 0 THEN 'site' ELSE 'other' END AS host, 'https://' || host || '.example/' || (k % 20) || '/' || k AS url, CASE WHEN k % 20 = 5 THEN 'url_excluded' WHEN k % 20 = 7 AND host = 'site' THEN 'robots_disallowed' WHEN k NOT IN (SELECT page_id FROM pages) THEN 'fetch_failed' END AS outcome FROM s), "
+    "h AS (SELECT *, row_number() OVER (PARTITION BY host, outcome IS NULL ORDER BY depth, url) <= 100 AS under FROM u), p AS (SELECT *, row_number() OVER (PARTITION BY outcome IS NULL, under ORDER BY depth, url) AS place FROM h) "
+    "SELECT url, depth, CASE WHEN outcome IS NOT NULL THEN outcome WHEN NOT under THEN 'host_cap' WHEN place > 150 THEN 'page_cap' ELSE 'fetched' END AS outcome FROM p",
     "sft_gate": f"{CHATS} SELECT conv_id, drop_reason FROM g",
     "sft_chatml": f"{CHATS} SELECT id, pos, role, content FROM k",
     "sft_sharegpt": f"{CHATS} SELECT id, pos, CASE role {' '.join(f'WHEN {_str(a)} THEN {_str(b)}' for a, b in SHAREGPT.items())} END AS speaker, content AS value FROM k",
     "sft_alpaca": f"{CHATS} SELECT id, coalesce(first(content ORDER BY pos) FILTER (role = 'user'), '') AS instruction, '' AS input, coalesce(first(content ORDER BY pos) FILTER (role = 'assistant'), last(content ORDER BY pos)) AS output, any_value(license) AS license, any_value(license) <> 'unknown' AS is_publishable FROM k GROUP BY id",
-    "synth_qa": "WITH x AS (SELECT CAST(doc_id AS VARCHAR) AS id, left(coalesce(text, ''), 4000) AS t FROM documents) SELECT id, CAST(0 AS BIGINT) AS n, 'How long is it? ' || length(t) AS question, CAST(NULL AS VARCHAR) AS drop_reason, substr(sha256(id || chr(31) || '0' || chr(31)), 1, 16) AS synth_id FROM x",
+    "synth_qa": "WITH x AS (SELECT CAST(doc_id AS VARCHAR) AS id, coalesce(text, '') AS t FROM documents) SELECT id, CAST(0 AS BIGINT) AS n, 'How long is it? ' || length(t) AS question, CAST(NULL AS VARCHAR) AS drop_reason, substr(sha256(id || chr(31) || '0' || chr(31)), 1, 16) AS synth_id FROM x",
     "jsonl_round_trip": "SELECT *, false AS bad_json FROM documents",
 }

@@ -331,14 +331,14 @@ def source_profiles(spark, sf_dir):
 
 @query
 def crawl_frontier(spark, sf_dir):
-    """A site made of the pages' ids: page k links to 2k + 1 and 2k + 2."""
-    p = table(spark, sf_dir, "pages").select("page_id")
-    at = lambda c: F.concat(F.lit("https://site.example/"), (c % 20).cast("string"), F.lit("/"), c.cast("string"))
-    more = F.concat(F.lit('<a href="'), at(F.col("page_id") * 2 + 1), F.lit('">x</a><a href="'), at(F.col("page_id") * 2 + 2), F.lit('">y</a><a href="mailto:x">z</a>'))
-    site = p.select(at(F.col("page_id")).alias("url"), more.alias("html"))
-    seeds = site.filter("url = 'https://site.example/0/0'").select("url")
-    rules = spark.createDataFrame([("site.example", ["/7/"])], "host string, disallow array<string>")
-    return crawl.crawl(site, seeds, replace(S.crawl, max_depth=6, url_exclude=["/5/"]), rules)
+    """Two hosts made of the pages' ids: of every 64 pages the first is a seed, and page j of them links to 4j + 1 to 4j + 4. Small caps, which both take effect."""
+    at = lambda c: F.concat(F.lit("https://"), F.when(F.floor(c / 64) % 2 == 0, "site").otherwise("other"), F.lit(".example/"), (c % 20).cast("string"), F.lit("/"), c.cast("string"))
+    k = F.col("page_id")
+    near = F.filter(F.array(*[k % 64 * 4 + n for n in range(1, 5)]), lambda j: j < 64)
+    more = F.array_join(F.transform(near, lambda j: F.concat(F.lit('<a href="'), at(k - k % 64 + j), F.lit('">x</a>'))), '<a href="mailto:x">z</a>')
+    site = table(spark, sf_dir, "pages").select("page_id", at(k).alias("url"), more.alias("html"))
+    rules = spark.sql("SELECT 'site.example' AS host, array('/7/') AS disallow")
+    return crawl.crawl(site.drop("page_id"), site.filter(k % 64 == 0).select("url"), replace(S.crawl, max_depth=6, url_exclude=["/5/"], per_host_concurrency=2, max_pages=150), rules)
 
 
 def _chats(spark, sf_dir) -> DataFrame:
@@ -385,7 +385,7 @@ def _stub(messages: list[dict]) -> str:
 @query
 def synth_qa(spark, sf_dir):
     d = documents(spark, sf_dir).select(F.col("doc_id").alias("id"), "text")
-    return sft.synthesize(d, _stub, "stub").select("id", long("n").alias("n"), "question", "drop_reason", "synth_id")
+    return sft.synthesize(d, _stub, "stub", max_chars=None).select("id", long("n").alias("n"), "question", "drop_reason", "synth_id")
 
 
 @query

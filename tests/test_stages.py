@@ -122,7 +122,11 @@ def test_trained_scorers(spark):
     mean = {r.quality: r.m for r in scored.groupBy("quality").agg(F.avg("score").alias("m")).collect()}
     assert mean[1] > mean[0] + 0.1
     e = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
-    assert quality_model.clusters(e, k=3).select("cluster").distinct().count() == 3
+    odd = e.select("vec_id", "embedding").limit(3).withColumn("embedding", F.when(F.col("vec_id") % 2 == 0, F.transform("embedding", lambda x: x * F.lit(float("nan"))))).withColumn("vec_id", -1 - F.col("vec_id"))
+    got = {r.vec_id: r.cluster for r in quality_model.clusters(e.select("vec_id", "embedding").unionByName(odd), k=3, fit_rows=100).collect()}
+    assert len(got) == e.count() + 3  # all of them, though 100 are fitted on
+    assert {c for v, c in got.items() if v >= 0} == {0, 1, 2} and {c for v, c in got.items() if v < 0} == {None}
+    assert [r.cluster for r in quality_model.clusters(e.limit(4)).collect()] == [None] * 4
 
 
 def test_registered_queries_run_without_the_subpackage():
