@@ -19,7 +19,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import pairwise
+from itertools import islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +33,8 @@ DROPOUT, SEED, CACHE_ENTRIES, STORE_IDS = 0.1, 42, 600_000, 1 << 23
 #: Drawings of a unit that the tests hold against each other.
 VARIANTS = 4
 GROUP_BYTES = 1 << 20
+#: Texts longer than this are cut into blocks of as many units.
+BLOCK = 1 << 16
 #: Units up to _MASKED characters have 3 * (_MASKED - 1) < 64 candidates at most: those at first, and two with each merge.
 _NONE, _SHORT, _MASKED, _SPREAD = 1 << 30, 48, 22, 0x9E3779B97F4A7C15
 _WORD_UNIT = re.compile(r" *[^ \n]+|\n| +")
@@ -81,16 +83,17 @@ class Codec:
         if any("\n" in x or " " in x.lstrip(" ") for x in ranked):
             raise ValueError("a piece spans a line feed, or a space that follows another character")
         # where no piece joins a letter to another sign, as in models trained by script, words without their punctuation are units
-        self.units = (_WORD_UNIT if any(map(_MIXED.search, ranked)) else _SCRIPT_UNIT).findall
+        self.unit = _WORD_UNIT if any(map(_MIXED.search, ranked)) else _SCRIPT_UNIT
+        self.units = self.unit.findall
         order = {score: r for r, score in enumerate(sorted({score for score, _ in ranked.values()}))}
         self.ranks, self.ids = {x: order[score] for x, (score, _) in ranked.items()}, {x: i for x, (_, i) in ranked.items()}
         self._tables()
         lengths = np.array([len(b) for b in self.bytes_of])
         self.lengths, self.starts = lengths, np.cumsum(lengths) - lengths
         self.blob = np.frombuffer(b"".join(self.bytes_of), np.uint8)
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         """Empties what is looked up: units by number, their hashes and lengths, and pieces by number and mask."""
         self.number: dict[str, int] = {}
         self.unit_hash, self.unit_length = np.empty(0, np.uint64), np.empty(0, np.int64)
@@ -287,11 +290,29 @@ class Codec:
                     live, left, own, bits = live[on], left[on], own[on], bits[on]
         return base, masks
 
+    def _blocks(self, texts: list[str]) -> Iterator[tuple[list[int], list[list[str]], list[int]]]:
+        """Rows, their units, and the place of the first of these in its text: all of the short texts at once, the others in blocks."""
+        short = [k for k, x in enumerate(texts) if len(x) <= BLOCK]
+        yield short, [self.units(f" {texts[k]}") if texts[k] else [] for k in short], [0] * len(short)
+        for k, x in enumerate(texts):
+            if len(x) > BLOCK:
+                found, place = (m.group() for m in self.unit.finditer(f" {x}")), 0
+                while units := list(islice(found, BLOCK)):
+                    yield [k], [units], [place]
+                    place += len(units)
+
     def encode_batch(self, texts: list[str], keys: list[int]) -> list[np.ndarray]:
         """ids of each text; its key varies what is skipped."""
+        parts: list[list[np.ndarray]] = [[] for _ in texts]
+        for rows, lists, places in self._blocks(texts):
+            for k, ids in zip(rows, self._encode_lists(lists, [keys[k] for k in rows], places), strict=True):
+                parts[k].append(ids)
+        return [x[0] if len(x) == 1 else np.concatenate(x) for x in parts]
+
+    def _encode_lists(self, lists: list[list[str]], keys: list[int], first_places: list[int]) -> list[np.ndarray]:
+        """ids of each list of units."""
         if len(self.known) + len(self.number) > CACHE_ENTRIES or self.filled > STORE_IDS:
-            self._forget()
-        lists = [self.units(f" {x}") if x else [] for x in texts]
+            self.forget()
         flat = [u for units in lists for u in units]
         number = self.number
         if new := list(set(flat).difference(number)):
@@ -302,7 +323,7 @@ class Codec:
         n = np.array([len(units) for units in lists], np.int64)
         ends = np.cumsum(n)
         at = np.array(list(map(number.__getitem__, flat)), np.int64)
-        places = (np.arange(len(flat)) - np.repeat(ends - n, n)).astype(np.uint64)
+        places = (np.arange(len(flat)) - np.repeat(ends - n - np.array(first_places, np.int64), n)).astype(np.uint64)
         base, masks = self._draw(at, np.repeat(np.array([k & (1 << 64) - 1 for k in keys], np.uint64), n), places)
         stored = np.full(len(flat), -1, np.int64)
         far = self.unit_length[at] > _MASKED if self.limit else np.zeros(len(flat), bool)  # too many candidates for a mask: each on its own
@@ -337,9 +358,13 @@ class Codec:
         """The text of the pieces, without the space that encoding put before it."""
         if not len(ids):
             return ""
-        n = self.lengths[ids]
-        at = np.repeat(self.starts[ids] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        return self.blob[at].tobytes()[1:].decode("utf-8", "replace")
+        parts = []
+        for k in range(0, len(ids), BLOCK):
+            some = ids[k : k + BLOCK]
+            n = self.lengths[some]
+            at = np.repeat(self.starts[some] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            parts.append(self.blob[at].tobytes())
+        return b"".join(parts)[1:].decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=2)
@@ -353,15 +378,18 @@ def encode_documents(docs: DataFrame, model_path: str, dropout: float = DROPOUT,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model_path, dropout, seed)
-        for batch in batches:
-            for rows in byte_groups(batch.column(3).to_pylist(), GROUP_BYTES):
-                part = batch.slice(rows.start, len(rows))
-                texts = part.column(2).to_pylist()
-                ids = own.encode_batch(texts, part.column(1).to_pylist())
-                same = [own.decode(got) == text for text, got in zip(texts, ids, strict=True)]
-                counts = np.array([len(x) for x in ids], np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(np.concatenate(ids), pa.int32()))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(3), pa.array(counts), pa.array(same, pa.bool_()), lists], [id_col, "n_bytes", "n_pieces", "lossless", "ids"])
+        try:
+            for batch in batches:
+                for rows in byte_groups(batch.column(3).to_pylist(), GROUP_BYTES):
+                    part = batch.slice(rows.start, len(rows))
+                    texts = part.column(2).to_pylist()
+                    ids = own.encode_batch(texts, part.column(1).to_pylist())
+                    same = [own.decode(got) == text for text, got in zip(texts, ids, strict=True)]
+                    counts = np.array([len(x) for x in ids], np.int64)
+                    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(np.concatenate(ids), pa.int32()))
+                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(3), pa.array(counts), pa.array(same, pa.bool_()), lists], [id_col, "n_bytes", "n_pieces", "lossless", "ids"])
+        finally:
+            own.forget()  # the worker lives on, and what it looked up would add to the memory of later stages
 
     key = F.xxhash64(F.col(id_col).cast("string"))
     text = F.coalesce(F.col(text_col), F.lit(""))

@@ -44,6 +44,20 @@ def test_dropout_varies_by_seed_and_document_and_is_repeatable():
     assert 0.17 < skipped / (merged + skipped) < 0.23
 
 
+def test_long_texts_go_in_blocks_and_lookups_are_given_up(monkeypatch):
+    some = [x for x in texts() if x] + ["", " ".join(["encyclopaedia understanding"] * 40)]
+    keys = list(range(len(some)))
+    whole = sc.Codec(PATH, 0.2).encode_batch(some, keys)
+    monkeypatch.setattr(sc, "BLOCK", 3)
+    own = sc.Codec(PATH, 0.2)
+    for _ in range(2):
+        got = own.encode_batch(some, keys)
+        assert [x.tolist() for x in got] == [x.tolist() for x in whole]
+        assert [own.decode(x) for x in got] == some
+        own.forget()
+        assert not own.known and not own.number and not own.filled
+
+
 def test_every_occurrence_is_drawn_anew():
     """Not one of a few for the whole corpus: segmentations come up as often as with coins of a generator."""
     own, rng = sc.Codec(PATH, 0.1), random.Random(8)
