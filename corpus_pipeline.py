@@ -15,7 +15,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group stays; a group is linked by a similarity of 0.8 or more of five-word shingles."""
+    """The document with the smallest id of each group stays; a group is linked by a similarity of 0.8 or more of five-word shingles.
+
+    Pairs to be compared come from SimHash fingerprints within 5 bits, by pigeonring; those that are similar but further apart come from the shingles, so that none is lost."""
     return similar.one_of_each(docs)
 
 

@@ -17,6 +17,7 @@ Rows with a null id get a fingerprint but belong to no component (null).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -104,6 +105,26 @@ def _within_budgets(x: Column, kind: Column) -> Column:
     return chain & (F.bit_count(x) <= DISTANCE)
 
 
+def ring_masks(distance: int, equal: int) -> list[int]:
+    """Masks of the bits of each key by which fingerprints within a distance meet: equal segments of a ring of distance + equal.
+
+    From some segment every chain of l segments differs in at most l * distance / segments bits, so that this segment is equal, and of the l - 1 behind it as many as that
+    budget can't reach. A key is such a segment with the first equal - 1 places where the next equal ones can be. Each two fingerprints within the distance have a key in common.
+    """
+    m = distance + equal
+    ends = [64 * i // m for i in range(m + 1)]
+    segment = [(1 << ends[i + 1]) - (1 << ends[i]) for i in range(m)]
+    reach = [next(n - 1 for n in range(1, m + 1) if n - 1 - n * distance // m >= k) for k in range(1, equal)]
+    behind = [c for c in combinations(range(1, m), equal - 1) if all(at <= r for at, r in zip(c, reach, strict=True))]
+    return sorted({segment[i] | sum(segment[(i + at) % m] for at in c) for i in range(m) for c in behind})
+
+
+def ring_keys(fp: Column, distance: int, equal: int) -> Column:
+    """The keys of a fingerprint, as hashes of its bits under each mask; others with the same hash are told apart by their distance."""
+    masks = F.array(*[F.lit(m - (1 << 64) if m >> 63 else m).cast("long") for m in ring_masks(distance, equal)])
+    return F.transform(masks, lambda m: F.xxhash64(fp.bitwiseAND(m), m))
+
+
 def links(nodes: DataFrame) -> DataFrame:
     """nodes: id, fp, all fp distinct. Pairs a, b of ids that connect all fingerprints within 2 bits: each such pair, or a path between its ends."""
     rows = cut(nodes.select("id", "fp", F.explode(_keys(F.col("fp"))).alias("k")).select("id", "fp", "k.kind", "k.key"))

@@ -1,15 +1,18 @@
-"""Near-duplicates by the Jaccard similarity of word shingles: all pairs at or above a threshold, none below it.
+"""Near-duplicates by SimHash fingerprints and the Jaccard similarity of word shingles: all pairs at or above a threshold, none below it.
 
-At a similarity of 0.8 fingerprints of 64 bits differ in about 10 bits and often in 15, for which pigeonring has no selective keys left. Candidates
-come from the shingles themselves. All sets are put into one order; two sets of similarity t or more share a shingle
+Each set of shingles has a fingerprint of 64 bits, as in `simhash`. Fingerprints that differ in DISTANCE bits at most meet by pigeonring filtering: they have EQUAL
+equal segments of a ring, as its chains tell. Those pairs are compared as whole sets, and what is similar is linked.
+
+At a similarity of 0.8 fingerprints differ in about 10 bits and often in 13, for which pigeonring has no selective keys left. So that no such pair is lost, nodes that are
+not in one component by then are compared further, with candidates from the shingles themselves. All sets are put into one order; two sets of similarity t or more share a shingle
 among the first n - ceil(t n) + 1 of each, and where they first do, as many follow in each as they must share, so that pairs that
 meet under such a key and pass this bound are all pairs there can be. Shingles that a sample of
 the documents has often come last in the order, which keeps common passages out of the keys; the order decides about cost only.
 
-Equal sets are one node, named by a hash of the set. In each round every node of a key is compared with one node of the key unless they are in
+Equal sets are one node, named by a hash of the set. Both kinds of keys are gone through in rounds. In each round every node of a key is compared with one node of the key unless they are in
 one component already; this joins large groups without pairs within them. In the first round that is the node that shares its keys with most others, as the original of edited copies does, later
 the least by a hash of node, key and round, so that a node whose first leaders were unlike it meets others. When what is left to compare is no more than LEFT times the entries (or after ROUNDS, or when a round leaves over GAIN of it), the nodes of a
-key that are still in different components are compared with each other. A set's hashes also make a parity of about as many bits: two parities
+key that are still in different components are compared with each other. For pairs that shingles name, a set's hashes also make a parity of about as many bits: two parities
 differ in no more bits than the sets in shingles, which drops most pairs that share a passage only. The others are compared as whole sets (of
 64-bit hashes), made anew from the texts of those nodes that are in a pair. Nothing is dropped that may be similar.
 
@@ -19,7 +22,7 @@ and different texts each is in the component of its text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +31,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import arrow_words, cut, stored, text_groups
-from corpusloom.llm.simhash import keep_first, text_hash
+from corpusloom.llm.simhash import keep_first, majority_bits, ring_keys, text_hash
 from corpusloom.operators.graph import components
 
 SHINGLE, SIMILARITY = 5, 0.8
+#: Bits that fingerprints may differ in, and segments that make a key: 56 keys of 24 bits.
+DISTANCE, EQUAL = 5, 3
 #: One of SAMPLE documents tells which shingles are common: those it has in OFTEN documents, COMMON of them at most.
 SAMPLE, OFTEN, COMMON = 16, 4, 1 << 16
 #: Buckets of nodes that are in a pair; a leader with more than MANY pairs meets them in SALTS tasks.
@@ -132,7 +137,7 @@ def _common(texts: DataFrame, size: int) -> np.ndarray:
 
 
 def _prefixes(texts: DataFrame, size: int, similarity: float, last) -> DataFrame:
-    """_id, text_hash, node (the set's hash), n, keys (the first of the set), bits (the parity)."""
+    """_id, text_hash, node (the set's hash), n, fp (the fingerprint), keys (the first of the set), bits (the parity)."""
     id_type = texts.schema["_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,9 +147,10 @@ def _prefixes(texts: DataFrame, size: int, similarity: float, last) -> DataFrame
                 first = np.where(n > 0, n - np.ceil(n * similarity - _E).astype(np.int64) + 1, 0)
                 ends = np.cumsum(n)
                 keep = np.arange(len(values)) < np.repeat(ends - n + first, n)
-                yield pa.RecordBatch.from_arrays([rows.column("_id"), rows.column("text_hash"), pa.array(_names(values, n)), pa.array(n, pa.int32()), _lists(values[keep], first), _parities(values, n)], ["_id", "text_hash", "node", "n", "keys", "bits"])
+                own = [pa.array(_names(values, n)), pa.array(n, pa.int32()), pa.array(majority_bits(values, np.concatenate([[0], ends])), pa.int64()), _lists(values[keep], first), _parities(values, n)]
+                yield pa.RecordBatch.from_arrays([rows.column("_id"), rows.column("text_hash"), *own], ["_id", "text_hash", "node", "n", "fp", "keys", "bits"])
 
-    return texts.mapInArrow(run, f"_id {id_type}, text_hash long, node long, n int, keys array<bigint>, bits array<bigint>")
+    return texts.mapInArrow(run, f"_id {id_type}, text_hash long, node long, n int, fp long, keys array<bigint>, bits array<bigint>")
 
 
 def _bucket(*c: str) -> Column:
@@ -177,43 +183,32 @@ def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return stored(both.filter(common / (F.size("ha") + F.size("hb") - common) >= similarity).select("a", "b"))
 
 
-def links(texts: DataFrame, rows: DataFrame, size: int, similarity: float) -> DataFrame:
-    """rows: _id, text_hash, node, n, keys, bits. Pairs a, b of nodes that connect all sets of the similarity: each such pair, or a path of such pairs between its ends."""
-    nodes = rows.filter("n > 0").groupBy("node").agg(F.min(F.struct("_id", "text_hash")).alias("_r")).select("node", "_r._id", "_r.text_hash")
-    firsts = rows.join(nodes, ["node", "_id", "text_hash"], "left_semi").select("node", "n", F.posexplode("keys").alias("pos", "key"))
-    entries = firsts.repartition("key")  # moved once for both uses
+def _shared(entries: DataFrame, cols: tuple[str, ...]) -> DataFrame:
+    """key, node, cols of the keys that several nodes have, with _d (how many entries the keys of the node have)."""
+    entries = entries.repartition("key")  # moved once for both uses
     # _x keeps both uses of entries alike, so that they are moved once
-    twice = entries.groupBy("key").agg(F.count("*").alias("_m"), F.max(F.struct("node", "n", "pos")).alias("_x")).filter("_m > 1 AND _x IS NOT NULL").select("key", "_m")
+    twice = entries.groupBy("key").agg(F.count("*").alias("_m"), F.max(F.struct("node", *cols)).alias("_x")).filter("_m > 1 AND _x IS NOT NULL").select("key", "_m")
     shared = stored(entries.join(twice, "key"))
     hubs = cut(shared.groupBy("node").agg(F.sum("_m").alias("_d")))
-    shared = stored(shared.join(hubs, "node").select("key", "node", "n", "pos", "_d"))
-    leader = lambda last, *by: last(F.struct("node", "n", "pos"), F.struct(*by, "node")).alias("_l")
-    parity = stored(rows.join(shared.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("p")))
+    return stored(shared.join(hubs, "node").select("key", "node", *cols, "_d"))
 
-    def may_fit(n: Column, i: Column, m: Column, j: Column) -> Column:
-        """The sizes allow it, and behind the key (places i and j) there is as much as they must share."""
-        most = F.least(n - i, m - j)
-        return (F.least(n, m) >= F.greatest(n, m) * similarity - _E) & (most >= (n + m) * (similarity / (1 + similarity)) - _E)
-
-    def similar_ones(pairs: DataFrame) -> DataFrame:
-        """Those of pairs (a, b) that are similar."""
-        side = lambda c: parity.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("p").alias(f"p{c}"))
-        both = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
-        fits = F.greatest(F.size("pa"), F.size("pb")) <= 2 * F.least(F.size("pa"), F.size("pb"))  # as sizes of similar sets are
-        few = cut(both.filter(fits & (_apart(F.col("pa"), F.col("pb")) <= (F.col("na") + F.col("nb")) * ((1 - similarity) / (1 + similarity)) + _E)).select("a", "b"))
-        return few if few.isEmpty() else _alike(few, _sets(texts, rows, few, size), similarity)
 
-    at, found, labels, before = shared, None, None, float("inf")
+def _rounds(shared: DataFrame, cols: tuple[str, ...], may: Callable, similar_ones: Callable, found: DataFrame | None = None) -> DataFrame:
+    """found and further pairs a, b, which connect all nodes that meet under a key, may be similar by cols (may takes two functions from a name to a side's column) and are."""
+    leader = lambda last, *by: last(F.struct("node", *cols), F.struct(*by, "node")).alias("_l")
+    label_of = lambda rows: rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    labels = None if found is None else cut(components(found)).select("node", "label")
+    at, before = shared, float("inf")
     for k in range(ROUNDS):
         lead = at.join(at.groupBy("key").agg(leader(F.min_by, F.xxhash64("key", "node", F.lit(k))) if k else leader(F.max_by, "_d")), "key")
-        lead = lead.filter((F.col("node") != F.col("_l.node")) & may_fit(F.col("n"), F.col("pos"), F.col("_l.n"), F.col("_l.pos")))
-        if k:  # those in one component already are left out
+        lead = lead.filter((F.col("node") != F.col("_l.node")) & may(F.col, lambda c: F.col(f"_l.{c}")))
+        if labels is not None:  # those in one component already are left out
             of = labels.select(F.col("node").alias("_n"), F.col("label").alias("_label"))
-            lead = lead.join(of, F.col("_l.node") == F.col("_n"), "left").filter(F.col("label") != F.coalesce("_label", "_l.node"))
+            lead = (lead if k else label_of(lead)).join(of, F.col("_l.node") == F.col("_n"), "left").filter(F.col("label") != F.coalesce("_label", "_l.node"))
         more = similar_ones(lead.select(F.col("node").alias("a"), F.col("_l.node").alias("b")))
         found = more if found is None else found.unionByName(more)
         labels = cut(components(found)).select("node", "label")
-        at = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        at = label_of(shared)
         by = at.groupBy("key", "label").agg(F.count("*").alias("m")).groupBy("key").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("own"), F.count("*").alias("labels"))
         mixed = cut(by.filter("labels > 1"))
         at = stored(at.join(mixed.select("key"), "key", "left_semi"))
@@ -221,27 +216,64 @@ def links(texts: DataFrame, rows: DataFrame, size: int, similarity: float) -> Da
         if left <= LEFT * size_of or left > GAIN * before:
             break
         shared, before = at.drop("label"), left
-    other = at.select("key", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("label").alias("label2"))
-    rest = at.join(other, "key").filter((F.col("label") < F.col("label2")) & may_fit(F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2")))
+    other = at.select("key", *[F.col(c).alias(f"{c}2") for c in ("node", *cols, "label")])
+    rest = at.join(other, "key").filter((F.col("label") < F.col("label2")) & may(F.col, lambda c: F.col(f"{c}2")))
     return found.unionByName(similar_ones(rest.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"))))
 
 
-def _classes(docs: DataFrame, id_col: str, text_col: str, size: int, similarity: float) -> DataFrame:
+def near_links(texts: DataFrame, rows: DataFrame, size: int, similarity: float, distance: int) -> DataFrame:
+    """Pairs a, b of nodes that connect all sets of the similarity whose fingerprints differ in no more bits than the distance."""
+
+    def similar_ones(pairs: DataFrame) -> DataFrame:
+        few = cut(pairs.distinct())
+        return few if few.isEmpty() else _alike(few, _sets(texts, rows, few, size), similarity)
+
+    nodes = rows.filter("n > 0").select("node", "fp").distinct()
+    shared = _shared(nodes.select("node", "fp", F.explode(ring_keys(F.col("fp"), distance, EQUAL)).alias("key")), ("fp",))
+    return _rounds(shared, ("fp",), lambda a, b: F.bit_count(a("fp").bitwiseXOR(b("fp"))) <= distance, similar_ones)
+
+
+def links(texts: DataFrame, rows: DataFrame, size: int, similarity: float, found: DataFrame | None = None) -> DataFrame:
+    """rows: _id, text_hash, node, n, keys, bits. Pairs a, b of nodes that connect all sets of the similarity: each such pair, or a path of such pairs between its ends; found are some of them."""
+    nodes = rows.filter("n > 0").groupBy("node").agg(F.min(F.struct("_id", "text_hash")).alias("_r")).select("node", "_r._id", "_r.text_hash")
+    firsts = rows.join(nodes, ["node", "_id", "text_hash"], "left_semi").select("node", "n", F.posexplode("keys").alias("pos", "key"))
+    shared = _shared(firsts, ("n", "pos"))
+    parity = stored(rows.join(shared.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("p")))
+
+    def may_fit(a: Callable, b: Callable) -> Column:
+        """The sizes allow it, and behind the key (places pos) there is as much as they must share."""
+        n, m = a("n"), b("n")
+        most = F.least(n - a("pos"), m - b("pos"))
+        return (F.least(n, m) >= F.greatest(n, m) * similarity - _E) & (most >= (n + m) * (similarity / (1 + similarity)) - _E)
+
+    def similar_ones(pairs: DataFrame) -> DataFrame:
+        """Those of pairs (a, b) that are similar."""
+        side = lambda c: parity.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("p").alias(f"p{c}"))
+        both = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
+        fits = F.greatest(F.size("pa"), F.size("pb")) <= 2 * F.least(F.size("pa"), F.size("pb"))  # as sizes of similar sets are
+        few = cut(both.filter(fits & (_apart(F.col("pa"), F.col("pb")) <= (F.col("na") + F.col("nb")) * ((1 - similarity) / (1 + similarity)) + _E)).select("a", "b"))
+        return few if few.isEmpty() else _alike(few, _sets(texts, rows, few, size), similarity)
+
+    return _rounds(shared, ("n", "pos"), may_fit, similar_ones, found)
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, size: int, similarity: float, distance: int) -> DataFrame:
     """_id, text_hash (hash of the text) and _first (the least of both in its component) of the rows with an id."""
     texts = _text(docs.filter(F.col(id_col).isNotNull()), id_col, text_col)
     last = docs.sparkSession.sparkContext.broadcast(_common(texts, size))
     rows = stored(_prefixes(texts, size, similarity, last))
-    labels = components(links(texts, rows, size, similarity)).select("node", "label")
+    near = near_links(texts, rows, size, similarity, distance)
+    labels = components(links(texts, rows, size, similarity, near)).select("node", "label")
     nodes = rows.groupBy("node").agg(F.min(F.struct("_id", "text_hash")).alias("_r")).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = nodes.groupBy("label").agg(F.min("_r").alias("_first"))
     return rows.select("_id", "text_hash", "node").join(nodes.join(least, "label").select("node", "_first"), "node").select("_id", "text_hash", "_first")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, similarity: float = SIMILARITY, distance: int = DISTANCE) -> DataFrame:
     """id, component_id (the smallest id reachable over pairs of the similarity) of the rows with an id."""
-    return _classes(docs, id_col, text_col, size, similarity).select(F.col("_id").alias(id_col), F.col("_first._id").alias("component_id"))
+    return _classes(docs, id_col, text_col, size, similarity, distance).select(F.col("_id").alias(id_col), F.col("_first._id").alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, similarity: float = SIMILARITY, distance: int = DISTANCE) -> DataFrame:
     """The row of docs with the smallest id of each component, of repeated rows one. Rows with a null id stay. Where one id has several texts, each is judged on its own."""
-    return keep_first(docs, _classes(docs, id_col, text_col, size, similarity), id_col, text_col)
+    return keep_first(docs, _classes(docs, id_col, text_col, size, similarity, distance), id_col, text_col)

@@ -2,7 +2,10 @@ import random
 import re
 
 import corpus_pipeline
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from test_simhash import DOCS, WORD
 
 from corpusloom.llm import simhash, similar
@@ -87,3 +90,50 @@ def test_texts_under_one_id_and_repeated_rows(spark):
         assert len(kept) == (4 if module is similar else len(set(kept))) and not {3, 5} & {i for i, _ in kept}
     got = [(r.doc_id, r.text) for r in similar.one_of_each(docs).collect()]
     assert len([t for i, t in got if i == 1]) == 2 and 2 not in {i for i, _ in got}
+
+
+def test_ring_keys_meet_within_the_distance(spark):
+    """Every two fingerprints within the distance have a key in common; for op4's distance the keys are op4's."""
+    rng = random.Random(5)
+    assert simhash.ring_masks(2, 2) == sorted(0xFFFF << 16 * i | 0xFFFF << 16 * j for (i, j), _ in simhash.KEYS)
+    for distance, equal in ((2, 2), (3, 2), (similar.DISTANCE, similar.EQUAL), (6, 3)):
+        masks = simhash.ring_masks(distance, equal)
+        for _ in range(2000):
+            x = sum(1 << b for b in rng.sample(range(64), distance))
+            assert any(not x & m for m in masks)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    fps = [rng.getrandbits(64) for _ in range(50)]
+    rows = [(signed(f), signed(f ^ sum(1 << b for b in rng.sample(range(64), similar.DISTANCE)))) for f in fps]
+    keys = [simhash.ring_keys(F.col(c), similar.DISTANCE, similar.EQUAL) for c in "ab"]
+    got = spark.createDataFrame(rows, "a long, b long").select(F.size(keys[0]).alias("n"), F.size(F.array_intersect(*keys)).alias("both")).collect()
+    assert all(r.n == 56 and r.both >= 1 for r in got)
+
+
+def fingerprint(text):
+    """Of the set of shingles, each counted once, by the hashes of the module."""
+    values, n = similar.shingle_sets(pa.array([text]), 5, np.empty(0, np.int64))
+    return sum(1 << b for b in range(64) if 2 * sum(int(v) >> b & 1 for v in values) > n[0])
+
+
+def test_stage_goes_by_fingerprints(spark, monkeypatch):
+    """Fingerprints alone link just the similar pairs within the distance; with the shingles behind them none is missed."""
+    rng = random.Random(12)
+    rows = []
+    for k in range(12):
+        base = [f"w{rng.randrange(3000)}" for _ in range(200)]
+        rows += [(10 * k + 1, " ".join(base))] + [(10 * k + 2 + i, edited(rng, base, n)) for i, n in enumerate((1, 1, 2, 4, 30))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets, fps = {i: shingles(t) for i, t in rows}, {i: fingerprint(t) for i, t in rows}
+    near = {i: i for i, _ in rows}
+    for i, _ in rows:  # ids grow, so that the class of the earlier one is the smaller one
+        for j, _ in rows:
+            if j < i and (fps[i] ^ fps[j]).bit_count() <= similar.DISTANCE and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8:
+                x, y = near[i], near[j]
+                near = {k: min(x, y) if c in (x, y) else c for k, c in near.items()}
+    kept = lambda: sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect())
+    whole = [i for i, c in brute(rows) if i == c]
+    assert kept() == whole
+    monkeypatch.setattr(similar, "links", lambda texts, rows, size, similarity, found: found)
+    alone = [i for i, c in near.items() if i == c]
+    assert kept() == alone
+    assert len(whole) < len(alone) < len(rows) - 12  # both steps have work
