@@ -8,27 +8,28 @@ from pyspark.sql import functions as F
 from corpusloom.config import Settings
 from corpusloom.functions import filters, pii
 from corpusloom.functions import text as tx
-from corpusloom.functions.lineage import cut
+from corpusloom.functions.lineage import cut, fenced
 from corpusloom.operators import decontam, dedup, provenance
 
 
 def local_reasons(docs: DataFrame, s: Settings) -> DataFrame:
     """seq, source_url, lang, text (after line cleaning), drop_reason of the checks that look at one document.
 
-    What is cheap comes first, and n-grams are counted only for documents that no cheaper check before them drops."""
+    What is cheap comes first, and n-grams are counted only for documents that no cheaper check before them drops. Each step is fenced, as Spark would put
+    the text's normalisation and the language's expression wherever the next steps name them, and evaluate them there each time."""
     c = s.clean
-    rows = docs.withColumn("_norm", tx.normalize(F.coalesce("text", F.lit(""))))
+    rows = fenced(docs.withColumn("_norm", tx.normalize(F.coalesce("text", F.lit("")))))
     first = F.when(F.coalesce(tx.strip(F.col("text")), F.lit("")) == "", "no_text").when(F.coalesce("source_url", F.lit("")) == "", "no_source_url").when(F.col("_norm") == "", "empty_after_normalize")
-    rows = rows.withColumns({"_r0": first, "_lang": filters.detect_language(F.col("_norm"))})
-    rows = rows.withColumn("_r1", F.coalesce("_r0", filters.language_reason(F.col("_lang.lang"), F.col("_lang.score"), c.lang_allow, c.lang_score_min)))
+    rows = fenced(rows.withColumns({"_r0": first, "_lang": filters.detect_language(F.col("_norm"))}))
+    rows = fenced(rows.withColumn("_r1", F.coalesce("_r0", filters.language_reason(F.col("_lang.lang"), F.col("_lang.score"), c.lang_allow, c.lang_score_min))))
     rows = rows.withColumn("_grams", filters.ngram_chars(F.when(F.col("_r1").isNull(), F.col("_norm")).otherwise("")))
-    rows = rows.withColumn("_c4", filters.c4_clean(F.col("_norm")))
+    rows = fenced(rows.withColumn("_c4", filters.c4_clean(F.col("_norm"))))
     # coalesce() leaves out what comes after the first reason; each reason stands in it once, or the plan would double with every step
     text = F.col("_c4.text")
     rows = rows.withColumn(
         "_r2", F.coalesce("_r1", filters.repetition_reason(F.col("_norm"), F.col("_grams")), filters.gopher_reason(F.col("_norm"), F.col("_lang.lang"), c.gopher_quality, c.vi_overrides),
             F.col("_c4.reason"), filters.shrunk_reason(text, c.gopher_quality.min_words), filters.list_like_reason(text)))
-    return rows.select(*[x for x in docs.columns if x not in ("text", "lang", "drop_reason")], F.col("_lang.lang").alias("lang"), text.alias("text"), F.col("_r2").alias("drop_reason"))
+    return fenced(rows.select(*[x for x in docs.columns if x not in ("text", "lang", "drop_reason")], F.col("_lang.lang").alias("lang"), text.alias("text"), F.col("_r2").alias("drop_reason")))
 
 
 def clean(docs: DataFrame, s: Settings | None = None, benchmark: DataFrame | None = None, scorer=None, now: Column | None = None) -> tuple[DataFrame, DataFrame]:

@@ -115,6 +115,13 @@ def test_stream_gives_the_batch_result(spark, tmp_path):
     assert sorted(r.seq for r in spark.read.parquet(f"{tmp_path}/out").collect()) in ([1, 2], [2, 4])
 
 
+def test_checks_of_a_document_are_computed_once(spark):
+    df = raw(spark, [(1, h.EN, URL, None)])
+    for rows in (clean.local_reasons(df, S), clean.local_reasons(df, S).filter("drop_reason IS NULL")):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("[ \\t]+") == plan.count("ArrowEvalPython [_nfc") == plan.count("ArrowEvalPython [_ngram_chars") == plan.count("[^a-z]+") == 1
+
+
 def test_trained_scorers(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
