@@ -1,7 +1,9 @@
 import re
+import unicodedata
 from dataclasses import replace
 
 import helpers as h
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -123,3 +125,17 @@ def test_hosts_and_ids(spark):
     assert column(spark, ["http://u@H.example:8/x?y", "nope", "https://a"], tx.url_host(F.col("text"))) == ["u@H.example:8", "", "a"]
     want = hashlib.sha256(b"a\x1fb\x1f").hexdigest()[:16]
     assert column(spark, ["a"], tx.stable_id(F.col("text"), F.lit("b"))) == [want]
+
+
+def test_python_holds_a_group_of_texts_at_a_time():
+    texts = ["x" * 100_000, None, ""] * 100 + ["y" * (3 << 20)]
+    groups = []
+    out = list(tx.grouped(iter([pa.array(texts), pa.array([], pa.string())]), lambda rows: groups.append(rows) or pa.array(rows, pa.string())))
+    assert [t for a in out for t in a.to_pylist()] == texts
+    assert max(sum(len(t or "") for t in g) for g in groups[:-2]) <= tx.GROUP_BYTES and groups[-2:] == [texts[-1:], []]
+
+
+def test_only_texts_that_may_change_go_to_python(spark):
+    texts = ["plain", "caf\u00e9", None, "cafe\u0301", "\u212b", "\ud55c\u1100\u1161"]
+    assert column(spark, texts, tx.nfc(F.col("text"))) == [t and unicodedata.normalize("NFC", t) for t in texts]
+    assert column(spark, texts, F.rlike("text", F.lit(tx.MAY_COMPOSE))) == [False, False, None, True, True, True]
