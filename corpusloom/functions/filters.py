@@ -5,8 +5,9 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -102,35 +103,46 @@ def duplicate_parts(parts: Column) -> Column:
     return tx.let(parts, count)
 
 
-def _top(words: list[str], n: int) -> int:
-    grams = Counter(zip(*[words[i:] for i in range(n)], strict=False))
-    if not grams:
-        return 0
-    gram, c = max(grams.items(), key=lambda x: x[1])  # the first of equals
-    return c * sum(map(len, gram)) if c > 1 else 0
-
-
-def _dup(words: list[str], n: int) -> int:
-    grams = Counter(zip(*[words[i:] for i in range(n)], strict=False))
-    return sum(sum(map(len, g)) for g, c in grams.items() if c > 1)
-
-
-_NGRAM_SCHEMA = "chars long, " + ", ".join(f"top_{n} long" for n in TOP_CAPS) + ", " + ", ".join(f"dup_{n} long" for n in DUP_CAPS)
+_NGRAM_FIELDS = ("chars", *[f"top_{n}" for n in TOP_CAPS], *[f"dup_{n}" for n in DUP_CAPS])
+_NGRAM_SCHEMA = ", ".join(f"{x} long" for x in _NGRAM_FIELDS)
 _WORDS = re.compile(r"\w+").findall
 
 
-def _ngram_chars(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    for part in texts:
-        rows = []
-        for t in part:
-            w = _WORDS(t or "")
-            rows.append([sum(map(len, w)), *[_top(w, n) for n in TOP_CAPS], *[_dup(w, n) for n in DUP_CAPS]])
-        yield pd.DataFrame(rows, columns=["chars", *[f"top_{n}" for n in TOP_CAPS], *[f"dup_{n}" for n in DUP_CAPS]])
+def _ngrams_of(text: str | None) -> list[int]:
+    """Only repeats count, and a repeated n-gram consists of two repeated ones that are a word shorter: places whose gram occurs once are
+    left behind at each length. at: those left, in order, with a number for each gram that stands for its words."""
+    words = _WORDS(text or "")
+    ends = [0, *accumulate(map(len, words))]
+    out, at = dict.fromkeys(_NGRAM_FIELDS, 0), dict(enumerate(words))
+    out["chars"] = ends[-1]
+    for n in range(2, max(DUP_CAPS) + 1):
+        pairs = [(i, (g, at[i + 1])) for i, g in at.items() if i + 1 in at]
+        count = Counter(g for _, g in pairs)
+        first, at = {}, {}
+        for i, g in pairs:
+            if count[g] > 1:
+                at[i] = first.setdefault(g, i)
+        if not at:
+            break
+        if n in TOP_CAPS:
+            g, i = max(first.items(), key=lambda x: count[x[0]])  # the first of equals
+            out[f"top_{n}"] = count[g] * (ends[i + n] - ends[i])
+        if n in DUP_CAPS:
+            out[f"dup_{n}"] = sum(ends[i + n] - ends[i] for i in first.values())
+    return list(out.values())
+
+
+def _ngram_chars(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def of(rows: list[str | None]) -> pa.Array:
+        columns = list(zip(*map(_ngrams_of, rows), strict=True)) or [()] * len(_NGRAM_FIELDS)
+        return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], names=list(_NGRAM_FIELDS))
+
+    return tx.grouped(texts, of)
 
 
 def ngram_chars(text: Column) -> Column:
     """Characters in all words, in all copies of the most frequent n-gram, and in one copy of each repeated n-gram."""
-    return F.pandas_udf(_ngram_chars, _NGRAM_SCHEMA)(text)
+    return F.arrow_udf(_ngram_chars, _NGRAM_SCHEMA)(text)
 
 
 def repetition_reason(text: Column, grams: Column) -> Column:

@@ -1,5 +1,7 @@
+import random
 import re
 import unicodedata
+from collections import Counter
 from dataclasses import replace
 
 import helpers as h
@@ -139,3 +141,18 @@ def test_only_texts_that_may_change_go_to_python(spark):
     texts = ["plain", "caf\u00e9", None, "cafe\u0301", "\u212b", "\ud55c\u1100\u1161"]
     assert column(spark, texts, tx.nfc(F.col("text"))) == [t and unicodedata.normalize("NFC", t) for t in texts]
     assert column(spark, texts, F.rlike("text", F.lit(tx.MAY_COMPOSE))) == [False, False, None, True, True, True]
+
+
+def test_ngrams_as_counted_plainly():
+    rng = random.Random(5)
+    texts = [None, "", "a", "a a", "a " * 30, "x y x y x y"] + [" ".join(rng.choice(["a", "bb", "ccc"]) for _ in range(rng.randrange(80))) for _ in range(300)]
+    got = [r for a in filters._ngram_chars(iter([pa.array(texts)])) for r in a.to_pylist()]
+    for t, r in zip(texts, got, strict=True):
+        w = h.words(t or "")
+        want = {"chars": sum(map(len, w))}
+        for n in (*filters.TOP_CAPS, *filters.DUP_CAPS):
+            c = Counter(zip(*[w[i:] for i in range(n)], strict=False))
+            size = lambda g: sum(map(len, g))
+            g, k = max(c.items(), key=lambda x: x[1], default=((), 0))
+            want |= {f"top_{n}": k * size(g) if k > 1 else 0} if n in filters.TOP_CAPS else {f"dup_{n}": sum(size(g) for g, k in c.items() if k > 1)}
+        assert r == want
