@@ -29,6 +29,10 @@ def scope_of(source_url: Column, scope: str) -> Column:
     return F.concat(F.lit(f"{scope}:"), F.when(host == "", source_url).otherwise(host))
 
 
+def _bands(keys: Column) -> Column:
+    return F.slice(keys, F.lit(2), F.greatest(F.size(keys) - 1, F.lit(0)))
+
+
 def greedy_near_duplicates(docs: DataFrame, cfg: MinHash, seed: int = 42, seq: str = "seq", text: str = "text", scope: str = "scope") -> DataFrame:
     """seq, is_dup: whether a row shares a band with an earlier row of its scope that is itself no duplicate.
 
@@ -36,9 +40,9 @@ def greedy_near_duplicates(docs: DataFrame, cfg: MinHash, seed: int = 42, seq: s
     row left in all of its bands; the first undecided row is decided in every round, and in practice nearly all are at once. This equals going through the rows in order.
     Rows without words have no bands and stay.
     """
-    keyed = docs.select(F.col(seq).alias("seq"), F.explode(minhash.bands(F.col(text), cfg, seed)).alias("band"), F.col(scope).alias("scope"))
+    keyed = docs.select(F.col(seq).alias("seq"), F.explode(_bands(minhash.keys(F.col(text), cfg, seed))).alias("band"), F.col(scope).alias("scope"))
     scratch = Scratch(docs.sparkSession)
-    rows = scratch.cut(keyed.select("seq", F.xxhash64("scope", "band").alias("k1"), F.crc32(F.concat_ws("/", "scope", "band").cast("binary")).alias("k2"), F.lit(False).alias("stays")))
+    rows = scratch.cut(keyed.select("seq", F.xxhash64("scope", "band.hi").alias("k1"), F.xxhash64("scope", "band.lo").alias("k2"), F.lit(False).alias("stays")))
     # a band that only one row has decides nothing
     shared = rows.groupBy("k1", "k2").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
     rows = scratch.cut(rows.join(shared, ["k1", "k2"]))
@@ -56,11 +60,22 @@ def greedy_near_duplicates(docs: DataFrame, cfg: MinHash, seed: int = 42, seq: s
     return docs.select(F.col(seq).alias("seq")).join(marked, "seq", "left").select("seq", F.coalesce("is_dup", F.lit(False)).alias("is_dup"))
 
 
+def _to_first(keyed: DataFrame) -> DataFrame:
+    """a, b: rows b with the first row a of the same key, for all but that. keyed: b, k of hi and lo."""
+    flat = keyed.select("b", "k.hi", "k.lo")
+    first = flat.groupBy("hi", "lo").agg(F.min("b").alias("a"), F.count("*").alias("n")).filter("n > 1")
+    return flat.join(first, ["hi", "lo"]).select("a", "b").filter("a <> b")
+
+
 def near_components(docs: DataFrame, cfg: MinHash, seed: int = 42, seq: str = "seq", text: str = "text") -> DataFrame:
-    """seq, component: the least row reachable over shared bands. Rows of a band are linked to its first, which reaches the same rows as all pairs."""
-    keyed = cut(docs.select(F.col(seq).alias("b"), F.explode(minhash.bands(F.col(text), cfg, seed)).alias("band")))
-    first = keyed.groupBy("band").agg(F.min("b").alias("a"), F.count("*").alias("n")).filter("n > 1")
-    edges = keyed.join(first, "band").select("a", "b").filter("a <> b").distinct()
+    """seq, component: the least row reachable over shared bands. Rows of a band are linked to its first, which reaches the same rows as all pairs.
+
+    Rows with the same signature share all bands: only the first of them brings its bands, and the others are linked to it."""
+    scratch = Scratch(docs.sparkSession)
+    rows = scratch.cut(docs.select(F.col(seq).alias("b"), minhash.keys(F.col(text), cfg, seed).alias("keys"))).filter(F.size("keys") > 0)
+    alike = scratch.cut(_to_first(rows.select("b", F.col("keys")[0].alias("k"))))
+    leaders = rows.join(alike.select("b"), "b", "left_anti")
+    edges = alike.unionByName(_to_first(scratch.cut(leaders.select("b", F.explode(_bands(F.col("keys"))).alias("k"))))).distinct()
     labels = components(edges)
     return docs.select(F.col(seq).alias("seq")).join(labels, F.col("seq") == F.col("node"), "left").select("seq", F.coalesce("label", "seq").alias("component"))
 
