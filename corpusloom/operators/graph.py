@@ -2,23 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.lineage import Scratch
 
-SALTS = 32
+#: Values that more than HEAVY rows have, the MOST most frequent of them, meet their parent in SALTS tasks.
+SALTS, HEAVY, MOST = 32, 10_000, 1000
 
 
 def _replace(rows: DataFrame, column: str, parents: DataFrame) -> DataFrame:
-    """Values of the column are replaced by their parent where they have one. parents: node, up. They are listed once for each of
-    SALTS salts, so that the rows of a large component meet them in as many tasks."""
-    salted = parents.select(F.col("node").alias(column), "up", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("salt"))
-    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")
-    out = rows.withColumn("salt", salt).join(salted, [column, "salt"], "left")
+    """Values of the column are replaced by their parent where they have one. parents: node, up. Only the parents of frequent values, as
+    the root of a large component, are listed once for each of SALTS salts: a copy of all of them for every salt would be what the join sorts."""
+    frequent = rows.groupBy(F.col(column).alias("node")).agg(F.count("*").alias("n")).filter(F.col("n") > HEAVY).orderBy(F.desc("n")).limit(MOST)
+    heavy = F.array(*[F.lit(r.node) for r in frequent.collect()]).cast("array<long>")
+    salt = F.when(F.array_contains(heavy, F.col(column)), F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")).otherwise(0)
+    out = rows.withColumn("salt", salt).join(_salted(parents, heavy).withColumnRenamed("node", column), [column, "salt"], "left")
     return out.withColumn(column, F.coalesce("up", column)).select(*rows.columns)
 
 
+def _salted(parents: DataFrame, heavy: Column) -> DataFrame:
+    """node, up, salt: once for each salt where the node is heavy, else once."""
+    salts = F.when(F.array_contains(heavy, F.col("node")), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return parents.select("node", "up", F.explode(salts).alias("salt"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """edges: a, b (longs). Returns node, label: the smallest node that is reachable, for every node with an edge.
 

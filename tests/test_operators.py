@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.config import DatasetPlan, Integrate, MinHash, Settings, apply_plan, from_dict, load
 from corpusloom.functions import minhash
-from corpusloom.operators import crawl, decontam, dedup, mix, profile, sft
+from corpusloom.operators import crawl, decontam, dedup, graph, mix, profile, sft
 from corpusloom.operators.graph import components
 
 S = Settings()
@@ -73,6 +73,26 @@ def test_components_of_chains_stars_and_random_graphs(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_only_frequent_values_are_salted(spark, monkeypatch):
+    parents = spark.range(100).select(F.col("id").alias("node"), F.lit(0).cast("long").alias("up"))
+    assert graph._salted(parents, F.array(F.lit(7), F.lit(8)).cast("array<long>")).count() == 98 + 2 * graph.SALTS
+    assert graph._salted(parents, F.array().cast("array<long>")).count() == 100
+    monkeypatch.setattr(graph, "HEAVY", 20)
+    edges = [(5, i) for i in range(6, 200)] + [(300, i) for i in range(301, 400)] + [(i, i + 1) for i in range(500, 530)]
+    want = {n: min(x for x in (5, 300, 500) if x <= n and n - x < 200) for e in edges for n in e}
+    want |= {n: 5 for n in range(5, 200)}
+    assert {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()} == want
+
+
+def test_copies_bring_their_bands_once(spark, monkeypatch):
+    rows = [(i, h.EN if i % 3 else h.EN + f" Word{i % 2}.") for i in range(40)] + [(50, ""), (51, None)]
+    seen, kept = [], dedup._to_first
+    monkeypatch.setattr(dedup, "_to_first", lambda k: seen.append(k.count()) or kept(k))
+    got = {r.seq: r.component for r in dedup.near_components(spark.createDataFrame(rows, "seq long, text string"), S.clean.minhash).collect()}
+    assert got == h.classes([(i, bands_of(t)) for i, t in rows])
+    assert seen == [40, 3 * S.clean.minhash.bands]  # three texts
+
+
 def test_exact_duplicates_keep_the_first(spark):
     df = spark.createDataFrame([(3, "a"), (1, "a"), (2, "b")], "seq long, text string")
     assert {r.seq: r.first_seq for r in dedup.exact_duplicates(df).collect()} == {1: 1, 2: 2, 3: 1}
