@@ -122,6 +122,18 @@ def test_checks_of_a_document_are_computed_once(spark):
         assert plan.count("[ \\t]+") == plan.count("ArrowEvalPython [_nfc") == plan.count("ArrowEvalPython [_ngram_chars") == plan.count("[^a-z]+") == 1
 
 
+def test_the_fit_reads_ids_in_one_task_and_no_texts(spark, monkeypatch):
+    d = spark.createDataFrame([(i, f"word{i % 2} and word{i % 5}") for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, None if i == 9 else i % 2) for i in range(0, 200)], "doc_id long, quality int")
+    cuts, cut = [], quality_model.cut
+    monkeypatch.setattr(quality_model, "cut", lambda x: cuts.append(cut(x)) or cuts[-1])
+    model = quality_model.fit_quality(d, labels, 20)
+    assert [x.columns for x in cuts] == [["doc_id"], ["label", "features"]] and [x.count() for x in cuts] == [20, 20]
+    first = [r.doc_id for r in d.filter("doc_id <> 9").orderBy(F.xxhash64("doc_id")).limit(20).collect()]
+    assert [r.label for r in cuts[1].collect()] == [i % 2 for i in first]
+    assert {r.doc_id for r in quality_model.score_quality(model, d).collect()} == set(range(60))
+
+
 def test_trained_scorers(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
